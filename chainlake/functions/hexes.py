@@ -38,8 +38,8 @@ def hex_dec(col: Column) -> Column:
     """Hex text to DECIMAL(38,0); NULL where 38 digits do not hold the value."""
     digits = _significant(col)
     padded = F.lpad(digits, 3 * LIMB, "0")
-    high = F.try_multiply(_limb(padded, 0), F.lit(16**30).cast("decimal(38,0)"))
-    low = _limb(padded, 1) * F.lit(16**15).cast("decimal(18,0)") + _limb(padded, 2)
+    high = F.try_multiply(_limb(padded, 0), F.lit(str(16**30)).cast("decimal(38,0)"))
+    low = _limb(padded, 1) * F.lit(str(16**15)).cast("decimal(20,0)") + _limb(padded, 2)
     whole = F.try_add(high.cast("decimal(38,0)"), low.cast("decimal(38,0)"))
     return F.when(F.length(digits) <= 32, whole.cast("decimal(38,0)"))
 

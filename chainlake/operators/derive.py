@@ -144,7 +144,7 @@ def trace_status(traces: DataFrame) -> DataFrame:
     scoped = scalars.in_transaction()
     depth = F.coalesce(F.size("trace_address"), F.lit(0))
     prefixes = F.transform(
-        F.sequence(F.lit(0), depth - 1),
+        F.sequence(F.lit(0), F.greatest(depth - 1, F.lit(0))),
         lambda n: _path_text(F.slice(F.col("trace_address"), F.lit(1), n)),
     )
     asks = (
@@ -178,7 +178,7 @@ def orphan_traces(traces: DataFrame) -> DataFrame:
     )
     return (
         traces.where(scoped & (F.size(path) > 0))
-        .withColumn("_parent", _path_text(F.slice(path, F.lit(1), F.size(path) - 1)))
+        .withColumn("_parent", _path_text(F.slice(path, F.lit(1), F.greatest(F.size(path) - 1, F.lit(0)))))
         .join(known, ["transaction_hash", "_parent"], "left_anti")
         .drop("_parent")
     )

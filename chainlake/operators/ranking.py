@@ -91,11 +91,25 @@ SORT_COLUMNS = ["address", "rank", "date", *SORT_FIELDS]
 def sorting_table(top: DataFrame, n: int = 100) -> DataFrame:
     """Distinct union of the first and last `n` rows by each sort field.
 
-    Every branch is a bounded top-n: tasks keep `n` rows each before merging.
+    One scan: each row competes in all twelve orders, and a group limit keeps `n`
+    rows per order and task ahead of the shuffle.
     """
     top = top.select(*SORT_COLUMNS)
-    ends = []
+    entries = []
     for field in SORT_FIELDS:
-        ends.append(top.orderBy(F.col(field).asc(), F.col("address").asc()).limit(n))
-        ends.append(top.orderBy(F.col(field).desc(), F.col("address").asc()).limit(n))
-    return reduce(DataFrame.unionByName, ends).distinct()
+        value = F.col(field).cast("double")
+        entries.append(F.struct(F.lit(f"{field} up").alias("_end"), value.alias("_key")))
+        entries.append(F.struct(F.lit(f"{field} down").alias("_end"), (-value).alias("_key")))
+    lines = top.select("*", F.explode(F.array(*entries)).alias("_e")).select(*SORT_COLUMNS, "_e.*")
+    place = F.row_number().over(
+        W.partitionBy("_end").orderBy(F.col("_key").asc_nulls_last(), F.col("address").asc())
+    )
+    kept = lines.withColumn("_place", place).where(F.col("_place") <= n)
+    return kept.select(*SORT_COLUMNS).distinct()
+
+
+def minmax(df: DataFrame, col: str, out: str) -> DataFrame:
+    """Scale a column to [0, 1]; a column without spread becomes 0."""
+    low, high = df.agg(F.min(col)).scalar(), df.agg(F.max(col)).scalar()
+    scaled = F.try_divide(F.col(col) - low, high - low)
+    return df.withColumn(out, F.when(F.col(col).isNotNull(), F.coalesce(scaled, F.lit(0.0))))

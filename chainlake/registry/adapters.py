@@ -144,7 +144,7 @@ VIEWS = {
     "tokens": f"""
       select case when p_type = 'ECONOMY' then concat('0x', upper(substr({_address('ee', 'p_partkey')}, 3)))
                   else {_address('ee', 'p_partkey')} end as address,
-        p_brand as symbol, p_name as name, cast(p_size % 19 as bigint) as decimals,
+        p_brand as symbol, p_name as name, cast(15 + p_size % 4 as bigint) as decimals,
         cast(concat(cast(cast(round(p_retailprice * 100) as bigint) as string), '000000000000000000')
           as decimal(38,0)) as total_supply,
         cast({FIRST} + p_partkey as bigint) as block_number
@@ -173,6 +173,13 @@ VIEWS = {
         s_acctbal > 5000 as is_erc20, s_acctbal > 2000 and s_acctbal <= 5000 as is_erc721,
         cast({FIRST} + s_suppkey as bigint) as block_number
       from {{supplier}}""",
+    # Events as logs: a month of them, whatever the scale.
+    "event_logs": f"""
+      select event_id as log_index, concat('0x', {_hex('event_id', 64)}) as transaction_hash,
+        user_id as transaction_index, {_address('aa', 'user_id')} as address, props as data,
+        split(event_type, ',') as topics, cast({FIRST} + event_id as bigint) as block_number,
+        cast(ts as timestamp) as block_timestamp, event_type as block_hash
+      from {{events}}""",
     # Three nodes per transaction: the call, its child, and the child's child.
     "trace_rows": f"""
       select block_number, transaction_hash, transaction_index, from_address, to_address, value,
@@ -285,7 +292,7 @@ class Tables:
     """The given tables of one scale, and the views over them, as DataFrames."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder, self._made = spark, folder.rstrip("/"), {}
+        self.spark, self._folder, self._made = spark, folder.rstrip("/"), {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -303,7 +310,7 @@ class Tables:
 
     def _read(self, name: str) -> DataFrame:
         # Schemas are read once per session, not once per query.
-        path = f"{self.folder}/{name}.parquet"
+        path = f"{self._folder}/{name}.parquet"
         key = (self.spark.sparkContext.applicationId, path)
         if key not in _READ:
             _READ[key] = self.spark.read.parquet(path).schema

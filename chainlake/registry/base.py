@@ -30,3 +30,10 @@ def query(name: str, sql: str | None = None):
         return build
 
     return keep
+
+
+def rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
+    """Round sums of doubles, whose last bits depend on the order of addition."""
+    from pyspark.sql import functions as F
+
+    return df.withColumns({c: F.round(c, digits) for c in cols})
