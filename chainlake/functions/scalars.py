@@ -24,8 +24,8 @@ def gas_cost(used: Column, price: Column) -> Column:
 
 def div10(x: Column, y: Column) -> Column:
     """Division kept to ten fractional digits (cut, not rounded)."""
-    wide = "decimal(38,14)"
-    return F.floor(F.try_divide(x.cast(wide), y.cast(wide)) * F.lit(10**10)) / F.lit(10.0**10)
+    ratio = F.try_divide(x.cast("double"), y.cast("double"))
+    return F.floor(ratio * F.lit(10.0**10)) / F.lit(10.0**10)
 
 
 def fixed_text(col: Column, digits: int = 10) -> Column:

@@ -226,7 +226,8 @@ def with_seed_traces(traces: DataFrame, genesis: DataFrame, forks: DataFrame,
     )
     seeds = allocated.unionByName(moved, allowMissingColumns=True)
     seeds = seeds.where(F.col("block_number").between(first, last))
-    typed = [F.col(c).cast(traces.schema[c].dataType).alias(c) for c in seeds.columns]
+    kinds = {f.name: f.dataType for f in traces.schema.fields}
+    typed = [F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in seeds.columns]
     return traces.unionByName(seeds.select(*typed), allowMissingColumns=True)
 
 

@@ -39,8 +39,10 @@ def _time(expr: str) -> str:
     return f"timestamp '2022-11-18 00:00:00' + ({expr}) * interval '1' second"
 
 
-TX_HASH = ("concat('0x', " + ", ".join(
-    _hex(c, 16) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")) + ")")
+# Every column that tells line items apart, since (order, line) does not.
+TX_HASH = ("concat('0x', " + ", ".join(_hex(c, w) for c, w in (
+    ("l_orderkey", 14), ("l_partkey", 14), ("l_suppkey", 10), ("l_linenumber", 2), ("l_quantity", 4),
+    ("round(l_extendedprice * 100)", 12), ("round(l_tax * 100)", 4), ("round(l_discount * 100)", 4))) + ")")
 BLOCK_HASH = f"concat('0x', {_hex('l_orderkey', 64)})"
 SENDER = (f"case when l_linenumber = 5 and l_quantity = 50 "
           f"then '0x0000000000000000000000000000000000000000' "
