@@ -7,50 +7,59 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+WIDTH = 64  # digits of a 256-bit word
 LIMB = 15  # hex digits per limb: 60 bits, always inside a BIGINT
 
 
-def _digits(col: Column) -> Column:
-    """Lower-case digits without prefix; NULL where the text is not hex."""
-    body = F.regexp_extract(F.lower(col), "^0x([0-9a-f]*)$", 1)
-    return F.when(F.lower(col).rlike("^0x[0-9a-f]+$"), body)
+def _is_hex(col: Column) -> Column:
+    return (F.length(col) <= WIDTH + 2) & col.rlike("^0[xX][0-9a-fA-F]+$")
 
 
-def _significant(col: Column) -> Column:
-    return F.ltrim(_digits(col), F.lit("0"))
+def _word(col: Column) -> Column:
+    """Digits without prefix, padded to a whole word."""
+    return F.lpad(F.substring(col, 3, WIDTH), WIDTH, "0")
 
 
-def _limb(padded: Column, index: int) -> Column:
-    piece = F.substring(padded, 1 + index * LIMB, LIMB)
-    return F.conv(piece, 16, 10).cast("decimal(20,0)")
+def _limb(col: Column, index: int) -> Column:
+    """60-bit piece of a word, counted from its low end, as BIGINT."""
+    start = max(WIDTH - LIMB * (index + 1), 0)
+    width = min(LIMB, WIDTH - LIMB * index)
+    return F.conv(F.substring(_word(col), start + 1, width), 16, 10).cast("bigint")
+
+
+def _zeros(col: Column, digits: int) -> Column:
+    """Whether the first `digits` digits of the word are all 0."""
+    return F.substring(_word(col), 1, digits) == F.lit("0" * digits)
 
 
 def hex_long(col: Column) -> Column:
     """Hex text to BIGINT; NULL for non-hex text and beyond 60 bits."""
-    digits = _significant(col)
-    return F.when(
-        F.length(digits) <= LIMB,
-        F.conv(F.lpad(digits, LIMB, "0"), 16, 10).cast("bigint"),
-    )
+    return F.when(_is_hex(col) & _zeros(col, WIDTH - LIMB), _limb(col, 0))
 
 
 def hex_dec(col: Column) -> Column:
     """Hex text to DECIMAL(38,0); NULL where 38 digits do not hold the value."""
-    digits = _significant(col)
-    padded = F.lpad(digits, 3 * LIMB, "0")
-    high = F.try_multiply(_limb(padded, 0), F.lit(str(16**30)).cast("decimal(38,0)"))
-    low = _limb(padded, 1) * F.lit(str(16**15)).cast("decimal(20,0)") + _limb(padded, 2)
-    whole = F.try_add(high.cast("decimal(38,0)"), low.cast("decimal(38,0)"))
-    return F.when(F.length(digits) <= 32, whole.cast("decimal(38,0)"))
+    wide = lambda c: c.cast("decimal(20,0)")
+    step = lambda n: F.lit(str(16 ** (LIMB * n))).cast("decimal(38,0)")
+    low = wide(_limb(col, 0))
+    # Two limbs stay below 16^30, so this sum cannot overflow.
+    middle = (wide(_limb(col, 1)) * F.lit(str(16**LIMB)).cast("decimal(20,0)") + low).cast("decimal(38,0)")
+    top = F.conv(F.substring(_word(col), WIDTH - 31, 2), 16, 10).cast("decimal(3,0)")
+    whole = F.try_add(F.try_multiply(top, step(2)).cast("decimal(38,0)"), middle)
+    return F.when(
+        _is_hex(col),
+        F.when(_zeros(col, WIDTH - LIMB), low.cast("decimal(38,0)"))
+        .when(_zeros(col, WIDTH - 2 * LIMB), middle)
+        .when(_zeros(col, WIDTH - 32), whole.cast("decimal(38,0)")),
+    )
 
 
 def hex_dbl(col: Column) -> Column:
     """Hex text to DOUBLE: exact decimal first, limb sum beyond 38 digits."""
-    padded = F.lpad(_significant(col), 5 * LIMB, "0")
-    total = _limb(padded, 0).cast("double") * F.lit(float(16**60))
-    for i in range(1, 5):
-        total = total + _limb(padded, i).cast("double") * F.lit(float(16 ** (15 * (4 - i))))
-    return F.coalesce(hex_dec(col).cast("double"), total)
+    total = _limb(col, 4).cast("double") * F.lit(float(16 ** (4 * LIMB)))
+    for i in range(3, -1, -1):
+        total = total + _limb(col, i).cast("double") * F.lit(float(16 ** (LIMB * i)))
+    return F.coalesce(hex_dec(col).cast("double"), F.when(_is_hex(col), total))
 
 
 def _as_decimal_text(value):
@@ -78,14 +87,24 @@ def word_address(col: Column) -> Column:
     ).otherwise(F.lower(col))
 
 
+def word_count(col: Column) -> Column:
+    """Number of words of a `0x` payload, the last one possibly short."""
+    digits = F.coalesce(F.length(col), F.lit(0)) - 2
+    return F.when(digits > 0, F.ceil(digits / WIDTH).cast("int")).otherwise(0)
+
+
+def word_at(col: Column, index: Column) -> Column:
+    """0-based word of a payload, with prefix."""
+    return F.concat(F.lit("0x"), F.substring(col, index * WIDTH + 3, F.lit(WIDTH)))
+
+
 def words(col: Column) -> Column:
     """`0x` payload to its 64-digit words, each with prefix; blank payload to []."""
-    count = F.ceil((F.length(col) - 2) / 64).cast("int")
+    count = word_count(col)
     parts = F.transform(
-        F.sequence(F.lit(1), count),
-        lambda i: F.concat(F.lit("0x"), F.substring(col, (i - 1) * 64 + 3, F.lit(64))),
+        F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), lambda i: word_at(col, i)
     )
-    return F.when(F.length(col) > 2, parts).otherwise(F.array().cast("array<string>"))
+    return F.when(count > 0, parts).otherwise(F.array().cast("array<string>"))
 
 
 def item(array: Column, index: int) -> Column:

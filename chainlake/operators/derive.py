@@ -19,10 +19,22 @@ LISTING_UPDATED = "0x470503ad37642fff73a57bac35e69733b6b38281a893f39b50c285aad1f
 # --- token transfers ---------------------------------------------------------
 
 def _transfer_events(logs: DataFrame) -> DataFrame:
-    fold = F.lower(hexes.item(F.col("topics"), 1))
-    return logs.where(fold == TRANSFER_TOPIC).withColumn(
-        "_parts", F.concat("topics", hexes.words(F.col("data")))
-    )
+    return logs.where(F.lower(hexes.item(F.col("topics"), 1)) == TRANSFER_TOPIC)
+
+
+def _parts() -> Column:
+    """Number of topics and data words together."""
+    return F.size("topics") + hexes.word_count(F.col("data"))
+
+
+def _part(index: int) -> Column:
+    """1-based part of an event: a topic, or a data word past the last topic.
+
+    Sliced straight from the row, without building an array of all parts.
+    """
+    beyond = F.lit(index - 1) - F.size("topics")
+    return F.when(beyond < 0, hexes.item(F.col("topics"), index)).otherwise(
+        hexes.word_at(F.col("data"), beyond))
 
 
 def transfers_from_logs(logs: DataFrame) -> DataFrame:
@@ -31,22 +43,22 @@ def transfers_from_logs(logs: DataFrame) -> DataFrame:
     `value` is the exact text; `value_dec` and `value_dbl` never leave the JVM,
     and a query that selects only those skips the text conversion.
     """
-    part = lambda i: hexes.item(F.col("_parts"), i)
     context = [c for c in ("block_timestamp", "block_hash") if c in logs.columns]
-    return _transfer_events(logs).where(F.size("_parts") == 4).select(
+    return _transfer_events(logs).where(_parts() == 4).select(
         F.lower("address").alias("token_address"),
-        hexes.word_address(part(2)).alias("from_address"),
-        hexes.word_address(part(3)).alias("to_address"),
-        hexes.hex_text(part(4)).alias("value"),
-        hexes.hex_dec(part(4)).alias("value_dec"),
-        hexes.hex_dbl(part(4)).alias("value_dbl"),
+        hexes.word_address(_part(2)).alias("from_address"),
+        hexes.word_address(_part(3)).alias("to_address"),
+        _part(4).alias("_raw"), "transaction_hash", "log_index", "block_number", *context,
+    ).select(
+        "token_address", "from_address", "to_address", hexes.hex_text("_raw").alias("value"),
+        hexes.hex_dec(F.col("_raw")).alias("value_dec"), hexes.hex_dbl(F.col("_raw")).alias("value_dbl"),
         "transaction_hash", "log_index", "block_number", *context,
     )
 
 
 def odd_transfers(logs: DataFrame) -> DataFrame:
     """Transfer events the extractor skips: not four parts."""
-    return _transfer_events(logs).where(F.size("_parts") != 4).drop("_parts")
+    return _transfer_events(logs).where(_parts() != 4)
 
 
 def transfers_strict(logs: DataFrame) -> DataFrame:

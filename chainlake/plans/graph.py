@@ -155,7 +155,9 @@ def pagerank(
     ranks = settle(nodes.withColumn("score", F.lit(1.0 / count)))
     try:
         for _ in range(max_iter):
-            dangling = ranks.where("total is null").agg(F.sum("score")).first()[0] or 0.0
+            # A scalar subquery over the table of the round before: one job per round.
+            dangling = ranks.where("total is null").agg(
+                F.coalesce(F.sum("score"), F.lit(0.0))).scalar()
             shares = ranks.where("total is not null").select(
                 F.col("id").alias("src"), (F.col("score") / F.col("total")).alias("share"),
                 F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
@@ -165,7 +167,7 @@ def pagerank(
                 .groupBy(F.col("dst").alias("id"))
                 .agg(F.sum(F.col("share") * F.col("weight")).alias("gain"))
             )
-            gain = F.coalesce("gain", F.lit(0.0)) + F.lit(dangling) * F.col("jump")
+            gain = F.coalesce("gain", F.lit(0.0)) + dangling * F.col("jump")
             ranks = settle(
                 ranks.withColumnRenamed("score", "before").join(gained, "id", "left").select(
                     "id", "jump", "total", "slices", "before",

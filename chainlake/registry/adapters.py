@@ -8,6 +8,7 @@ and suppliers play wallets and contracts, parts play tokens.
 
 from __future__ import annotations
 
+import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +32,9 @@ def _address(tag: str, expr: str) -> str:
     return f"concat('0x{tag}', {_hex(expr, 38)})"
 
 
-def _word(expr: str) -> str:
-    return f"lpad(substr({expr}, 3), 64, '0')"
+def _word(tag: str, expr: str) -> str:
+    """Address as the digits of a 256-bit word."""
+    return f"concat('{'0' * 24}{tag}', {_hex(expr, 38)})"
 
 
 def _time(expr: str) -> str:
@@ -40,9 +42,10 @@ def _time(expr: str) -> str:
 
 
 # Every column that tells line items apart, since (order, line) does not.
-TX_HASH = ("concat('0x', " + ", ".join(_hex(c, w) for c, w in (
-    ("l_orderkey", 14), ("l_partkey", 14), ("l_suppkey", 10), ("l_linenumber", 2), ("l_quantity", 4),
-    ("round(l_extendedprice * 100)", 12), ("round(l_tax * 100)", 4), ("round(l_discount * 100)", 4))) + ")")
+TX_HASH = ("concat('0x', " + ", ".join(_hex(c, 16) for c in (
+    "l_orderkey * 8 + l_linenumber", "l_partkey * 100 + l_quantity",
+    "l_suppkey * 10000 + round(l_tax * 100) * 100 + round(l_discount * 100)",
+    "round(l_extendedprice * 100)")) + ")")
 BLOCK_HASH = f"concat('0x', {_hex('l_orderkey', 64)})"
 SENDER = (f"case when l_linenumber = 5 and l_quantity = 50 "
           f"then '0x0000000000000000000000000000000000000000' "
@@ -121,19 +124,19 @@ VIEWS = {
       select cast(l_linenumber - 1 as bigint) as log_index, {TX_HASH} as transaction_hash,
         cast(l_linenumber - 1 as bigint) as transaction_index, {TOKEN_CASED} as address,
         case l_linenumber
-          when 4 then concat('0x', {_word(_address('aa', 'o_custkey'))},
-                             {_word(TRANSFER_TO)}, {_hex(f'{CENTS} * 100000000000', 64)})
+          when 4 then concat('0x', {_word('aa', 'o_custkey')},
+                             {_word('cc', 'l_suppkey')}, {_hex(f'{CENTS} * 100000000000', 64)})
           when 5 then '0x'
           else concat('0x', {_hex(f'{CENTS} * 100000000000', 64)}) end as data,
         case l_linenumber
           when 4 then '{TRANSFER_TOPIC}'
-          when 5 then concat('{TRANSFER_TOPIC},0x', {_word(_address('aa', 'o_custkey'))}, ',0x',
-                             {_word(TRANSFER_TO)}, ',0x', {_hex(CENTS, 64)})
-          when 6 then concat('{TRANSFER_TOPIC},0x', {_word(_address('aa', 'o_custkey'))})
+          when 5 then concat('{TRANSFER_TOPIC},0x', {_word('aa', 'o_custkey')}, ',0x',
+                             {_word('cc', 'l_suppkey')}, ',0x', {_hex(CENTS, 64)})
+          when 6 then concat('{TRANSFER_TOPIC},0x', {_word('aa', 'o_custkey')})
           else concat(case when l_linenumber = 7 then '{APPROVAL_TOPIC}'
                            when l_quantity = 3 then upper('{TRANSFER_TOPIC}')
                            else '{TRANSFER_TOPIC}' end,
-                      ',0x', {_word(_address('aa', 'o_custkey'))}, ',0x', {_word(TRANSFER_TO)})
+                      ',0x', {_word('aa', 'o_custkey')}, ',0x', {_word('cc', 'l_suppkey')})
           end as topics_text,
         cast({FIRST} + l_orderkey as bigint) as block_number,
         {_time(f'l_orderkey * {BLOCK_TIME}')} as block_timestamp, {BLOCK_HASH} as block_hash,
@@ -286,6 +289,9 @@ VIEWS = {
         where s_acctbal < 9000) held""",
 }
 
+# Folder of the given tables to a folder holding some views as stored tables.
+LANDED: dict[str, str] = {}
+
 _NAME = re.compile(r"\{(\w+)\}")
 _READ: dict = {}
 
@@ -300,25 +306,34 @@ class Tables:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in self._made:
-            if name in VIEWS:
+            stored = LANDED.get(self._folder)
+            if stored and name in VIEWS and os.path.isdir(f"{stored}/{name}"):
+                self._made[name] = self._read(f"{stored}/{name}")
+            elif name in VIEWS:
                 text = VIEWS[name]
                 parts = {n: getattr(self, n) for n in set(_NAME.findall(text))}
                 self._made[name] = self.spark.sql(text, **parts)
             elif name in BASE:
-                self._made[name] = self._read(name)
+                self._made[name] = self._read(f"{self._folder}/{name}.parquet")
             else:
                 raise AttributeError(name)
         return self._made[name]
 
-    def _read(self, name: str) -> DataFrame:
+    def _read(self, path: str) -> DataFrame:
         # Schemas are read once per session, not once per query.
-        path = f"{self._folder}/{name}.parquet"
         key = (self.spark.sparkContext.applicationId, path)
         if key not in _READ:
             _READ[key] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_READ[key]).parquet(path)
 
 
+def land(spark: SparkSession, folder: str, target: str, names: list[str], files: int = 8) -> None:
+    """Store views as tables of several files, as a chain's tables would be."""
+    for name in names:
+        getattr(Tables(spark, folder), name).repartition(files).write.parquet(f"{target}/{name}")
+    LANDED[folder.rstrip("/")] = target
+
+
 def needed(text: str) -> list[str]:
     """Views a SQL text refers to, dependencies first."""
     found: list[str] = []

@@ -131,14 +131,13 @@ UAW_SQL = f"""
 
 @query("v05_uaw", UAW_SQL)
 def _(t):
-    return activity.unique_active_wallets(priced(t), t.contracts)
+    return activity.unique_active_wallets(activity.movements(t.transactions, t.token_transfers), t.contracts)
 
 
-@query("a02_unique_active_wallets", UAW_SQL)
+@query("a02_unique_active_wallets", UAW_SQL.replace(
+    "union all select from_address, to_address from {token_transfers}", ""))
 def _(t):
-    ends = ["from_address", "to_address"]
-    both = t.transactions.select(*ends).unionByName(t.token_transfers.select(*ends))
-    return activity.unique_active_wallets(both, t.contracts)
+    return activity.unique_active_wallets(t.transactions, t.contracts)
 
 
 # --- aggregates --------------------------------------------------------------

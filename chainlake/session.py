@@ -34,6 +34,7 @@ def local_session(cpus: str = "*", partitions: int = 8, memory: str = "12g") ->
         .appName("chainlake")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()

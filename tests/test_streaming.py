@@ -113,3 +113,19 @@ def test_trace_entities(spark):
         (0, "create_0xt_", 1), (1, "call_0xt_0", 0), (2, "reward_1_0", 1)]
     assert listed(built["contract"], "address", "is_erc20", "is_erc721", "item_id") == [("0xC1", True, False, "contract_1_0xC1")]
     assert listed(built["token"], "symbol", "item_id", "block_hash") == [("SYM", "token_1_0xc1", "0xb1")]
+
+
+def test_deltas_fold_into_a_base(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = spark.createDataFrame([], "k string, v int").schema
+    sink, merge = st.delta_sink(path), st.newest_per_key(["k"])
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, v int")
+    read = lambda: listed(st.read_state(spark, path, schema, merge))
+    sink(rows(("a", 1), ("b", 1)), 0)
+    sink(rows(("a", 2)), 1)
+    assert read() == [("a", 2), ("b", 1)]
+    assert st.fold_state(spark, path, schema, merge) == 1
+    sink(rows(("b", 3), ("c", 3)), 2)
+    sink(rows(("b", 3), ("c", 3)), 2)
+    assert read() == [("a", 2), ("b", 3), ("c", 3)]
+    assert st.fold_state(spark, path, schema, merge) == 2 and read() == [("a", 2), ("b", 3), ("c", 3)]
