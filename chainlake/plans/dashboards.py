@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from chainlake.functions import scalars
 from chainlake.operators import derive
@@ -158,11 +159,21 @@ def eoa_histogram(scores: DataFrame) -> DataFrame:
 
 # --- B09, B16 ----------------------------------------------------------------
 
+def with_total(df: DataFrame, col: str, out: str) -> DataFrame:
+    """Column total beside each row of a grouped result.
+
+    Meant for results with one row per band or label category: the window sees
+    only those few rows, and the input behind them is scanned once.
+    """
+    return df.withColumn(out, F.sum(col).over(W.partitionBy()))
+
+
 def with_share(df: DataFrame, col: str, out: str, digits: int | None = None) -> DataFrame:
-    """Percentage of the column total; the total is a scalar subquery, not a window."""
-    total = df.agg(F.sum(col)).scalar()
-    share = F.col(col) * F.lit(100.0) / total
-    return df.withColumn(out, F.round(share, digits) if digits is not None else share)
+    """Percentage of the column total of a grouped result."""
+    share = F.col(col) * F.lit(100.0) / F.col("_total")
+    return with_total(df, col, "_total").withColumn(
+        out, F.round(share, digits) if digits is not None else share
+    ).drop("_total")
 
 
 def main_groups(scores: DataFrame) -> DataFrame:
@@ -174,10 +185,10 @@ def main_groups(scores: DataFrame) -> DataFrame:
     groups = latest(scores).groupBy(name.alias("groups")).agg(
         F.count(F.lit(1)).alias("num_of_addresses"), F.sum(score).alias("total_reputation_score")
     )
-    all_scores = groups.agg(F.sum("total_reputation_score")).scalar()
     out = with_share(groups, "num_of_addresses", "num_of_addresses_percentage", 2)
-    share = scalars.div10(F.col("total_reputation_score") * 100, all_scores)
-    return out.withColumn("total_reputation_score_percentage", F.round(share, 2))
+    share = scalars.div10(F.col("total_reputation_score") * 100, F.col("_all"))
+    out = with_total(out, "total_reputation_score", "_all")
+    return out.withColumn("total_reputation_score_percentage", F.round(share, 2)).drop("_all")
 
 
 def eoa_distribution(scores: DataFrame) -> DataFrame:

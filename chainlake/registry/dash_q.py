@@ -145,7 +145,19 @@ def _share(t):
 
 
 query("a07_share_of_total", SHARE_SQL)(_share)
-query("a08_share_by_subquery", SHARE_SQL)(_share)
+
+
+@query("a08_share_by_subquery", f"""
+    with s as (select * from {{scores}} where {LAST})
+    select {EOA_BAND} as band, round(count(*) * 100.0 / (select count(*) from s), 4) as share from s group by 1""")
+def _(t):
+    from chainlake.functions.scalars import eoa_band
+
+    last = d.latest(t.scores)
+    total = last.agg(F.count(F.lit(1))).scalar()
+    share = F.round(F.count(F.lit(1)) * F.lit(100.0) / F.any_value("_all"), 4)
+    band = eoa_band(F.col("reputation_score_log_scale")).alias("band")
+    return last.withColumn("_all", total).groupBy(band).agg(share.alias("share"))
 
 
 @query("w05_with_total", """
@@ -153,7 +165,7 @@ query("a08_share_by_subquery", SHARE_SQL)(_share)
     from {label_contract} group by 1""")
 def _(t):
     counts = t.label_contract.groupBy("project_id").agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("total", counts.agg(F.sum("n")).scalar())
+    return d.with_total(counts, "n", "total")
 
 
 CATEGORY_SQL = f"""
