@@ -2,7 +2,7 @@
 
 The given tables are first stored once in chain shape (`land_tables` below), since
 the queries are meant for stored blocks, transactions and logs. Every query then
-runs once to warm up and `BENCH_RUNS` times (default 3) measured, writing all
+runs once to warm up and `BENCH_RUNS` times (default 2) measured, writing all
 columns of all rows to the no-op sink. The median counts.
 """
 
@@ -28,7 +28,7 @@ HEADLINE = [
 ]
 
 
-VIEWS = ["blocks", "transactions", "receipts", "token_transfers", "logs", "tokens", "price_history",
+VIEWS = ["transactions", "receipts", "token_transfers", "logs", "tokens", "price_history",
          "price_ids", "contracts", "trace_rows", "scores", "label_contract", "label_eoa", "reputations",
          "top_reputations", "service_labels"]
 
@@ -36,7 +36,7 @@ VIEWS = ["blocks", "transactions", "receipts", "token_transfers", "logs", "token
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     spark = local_session(cpus, partitions=int(cpus) if cpus.isdigit() else 8)
     start = time.perf_counter()

@@ -329,9 +329,9 @@ class Tables:
 
 def land(spark: SparkSession, folder: str, target: str, names: list[str], files: int = 8) -> None:
     """Store views as tables of several files, as a chain's tables would be."""
-    for name in names:
-        getattr(Tables(spark, folder), name).repartition(files).write.parquet(f"{target}/{name}")
     LANDED[folder.rstrip("/")] = target
+    for name in names:  # a later view reads those stored before it
+        getattr(Tables(spark, folder), name).repartition(files).write.parquet(f"{target}/{name}")
 
 
 def needed(text: str) -> list[str]:

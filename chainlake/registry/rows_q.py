@@ -141,7 +141,8 @@ def raw_receipts(t):
 @query("s12_parse_receipts", """
     select transaction_hash, transaction_index, block_hash, block_number,
       cast(cumulative_gas_used as string) as cumulative_gas_used, cast(gas_used as string) as gas_used,
-      contract_address, status, cast(effective_gas_price as string) as effective_gas_price
+      contract_address, cast(status as bigint) as status,
+      cast(effective_gas_price as string) as effective_gas_price
     from {receipts}""")
 def _(t):
     text = lambda c: F.col(c).cast("string").alias(c)
