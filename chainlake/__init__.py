@@ -1,3 +1,11 @@
 """Chain analytics on Spark: typed chain tables, prices, reputation, dashboards."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions sent to Python workers carry their code along, so executors need no
+# copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
