@@ -64,4 +64,14 @@ def settle(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._settled_at = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete settled tables that no later plan reads."""
+    for df in tables:
+        spark, path = df.sparkSession, df._settled_at
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
