@@ -47,3 +47,11 @@ def op9_token_counts(read):
     from chainlake.llm.token_counts import count_tokens
 
     return count_tokens(read("documents"), bpe_50k())
+
+
+@query()
+def op5_simhash_near_dedup(read):
+    """Fingerprints of every whole text and the sets that 3 or fewer differing bits link."""
+    from chainlake.llm.simhash import near_duplicates
+
+    return near_duplicates(read("documents"), shingle=3, budget=3)
