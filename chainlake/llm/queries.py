@@ -55,3 +55,35 @@ def op5_simhash_near_dedup(read):
     from chainlake.llm.simhash import near_duplicates
 
     return near_duplicates(read("documents"), shingle=3, budget=3)
+
+
+@query("""
+WITH valid AS (
+  SELECT row_number() OVER () AS k, vec_id, label,
+         list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (
+  SELECT a.k AS a, b.k AS b FROM valid a JOIN valid b
+  ON a.label = b.label AND a.k <> b.k AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (
+  WITH RECURSIVE r(k, o) AS (
+    SELECT k, k FROM valid UNION SELECT r.k, links.b FROM r JOIN links ON r.o = links.a)
+  SELECT r.k, min(v.vec_id) AS component_id FROM r JOIN valid v ON v.k = r.o GROUP BY r.k),
+found AS (
+  SELECT v.vec_id, (SELECT count(*) FROM links WHERE links.a = v.k) AS n_links, component_id
+  FROM valid v JOIN reach USING (k)
+  UNION ALL
+  SELECT vec_id, 0, vec_id FROM embeddings
+  WHERE NOT coalesce(label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0, false))
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM found
+""")
+def op10_embedding_near_dedup(read):
+    """Vectors of a label whose cosine is at least 0.98, and the sets they form."""
+    from chainlake.llm.embedding_dedup import near_duplicates
+
+    return near_duplicates(read("embeddings"), least_cosine=0.98)
