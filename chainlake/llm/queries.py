@@ -60,11 +60,11 @@ def op5_simhash_near_dedup(read):
 @query("""
 WITH valid AS (
   SELECT row_number() OVER () AS k, vec_id, label,
-         list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e
+         [CAST(x AS DOUBLE) for x in embedding] AS e
   FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len([x for x in embedding if x IS NULL OR isnan(x) OR isinf(x)]) = 0
+    AND len([x for x in embedding if x <> 0]) > 0),
 links AS (
   SELECT a.k AS a, b.k AS b FROM valid a JOIN valid b
   ON a.label = b.label AND a.k <> b.k AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
@@ -78,8 +78,8 @@ found AS (
   UNION ALL
   SELECT vec_id, 0, vec_id FROM embeddings
   WHERE NOT coalesce(label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0, false))
+    AND len([x for x in embedding if x IS NULL OR isnan(x) OR isinf(x)]) = 0
+    AND len([x for x in embedding if x <> 0]) > 0, false))
 SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM found
 """)
 def op10_embedding_near_dedup(read):
@@ -87,3 +87,30 @@ def op10_embedding_near_dedup(read):
     from chainlake.llm.embedding_dedup import near_duplicates
 
     return near_duplicates(read("embeddings"), least_cosine=0.98)
+
+
+@query(r"""
+WITH words AS (
+  SELECT row_number() OVER () AS k, doc_id,
+         [x for x in string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] AS w
+  FROM documents),
+windows AS (
+  SELECT k, i, array_to_string(w[i:i + 34], ' ') AS body
+  FROM words, unnest(generate_series(1, len(w) - 34)) AS g(i)),
+again AS (SELECT body FROM windows GROUP BY body HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT k, j FROM windows JOIN again USING (body), unnest(generate_series(i, i + 34)) AS g(j)),
+kept AS (
+  SELECT k, string_agg(w[j], ' ' ORDER BY j) AS body, count(*) AS n
+  FROM words, unnest(generate_series(1, len(w))) AS g(j)
+  WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.k = words.k AND gone.j = g.j)
+  GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (k)
+""")
+def op1_substring_dedup(read):
+    """Words covered by windows of 35 words that also start elsewhere, over all texts."""
+    from chainlake.llm.substring_dedup import remove_repeats
+
+    return remove_repeats(read("documents"), window=35).drop("kept", "spans")
