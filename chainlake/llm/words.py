@@ -7,12 +7,16 @@ text may be cut there and its units encoded one by one.
 
 from __future__ import annotations
 
+import json
+import os
 import re
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 CUT = re.compile(r" (?=\S)")
+MARKS = ".,;:!?$&%*#)"
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -46,15 +50,35 @@ def whole_tokens(path: str) -> dict[str, int]:
     return {n: proven[n] for n, c in zip(names, codes) if c.ids == [proven[n]]}
 
 
+def merge_ranks(path: str) -> dict[bytes, int] | None:
+    """Token bytes by rank, if the file's merges are proven to make its ids in order.
+
+    Then merging by least id is merging by first rule, and one pre-token can be merged
+    without the library's text handling. None otherwise.
+    """
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    back, vocab = byte_alphabet(), model["vocab"]
+    rules = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+    if any(vocab.get(r) != len(back) + i for i, r in enumerate(rules)):
+        return None
+    made = [*back, *rules]
+    return {bytes(back[c] for c in p): vocab[p] for p in made}
+
+
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
     `memo` maps a unit (without its leading space) to the ids of " " + unit, and to None
     where the unit starts with white space, which must not be cut off. It starts with the
-    proven single tokens, and drops what it learned beyond `limit` units.
+    proven single tokens, and drops what it learned beyond `limit` units. Units of plain
+    words, end marks and single line ends are pre-tokens known without a pattern and are merged
+    one by one; the library takes all others whole.
     """
 
     def __init__(self, path: str, proven: dict[str, int], limit: int = 400_000, longest: int = 64):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -62,11 +86,43 @@ class WordEncoder:
                         for i, t in self.tok.get_added_tokens_decoder().items()}
         self.base = {p[1:]: _ids([i]) for p, i in proven.items()
                      if p[:1] == " " and p[1:] and not p[1].isspace()}
+        self.proven = proven
+        ranks = merge_ranks(path)
+        self.piece = None if ranks is None else Encoding(
+            "pieces", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+        self.tails: dict[str, bytes] = {}
         self.limit, self.longest = limit, longest
         self.memo: dict[str, bytes | None] = dict(self.base)
         self.marks = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") \
             if self.special else None
 
+    def plain(self, unit: str, lead: str) -> bytes | None:
+        """Ids of lead + unit if it is a word with end marks, or lines of such; else None."""
+        if "\n" in unit:
+            parts = [self.plain(p, lead if i == 0 else "") for i, p in enumerate(unit.split("\n"))]
+            return None if None in parts else self._tail("\n").join(parts)
+        word = unit.rstrip(MARKS)
+        # Letters below this code point are letters in every version of Unicode.
+        if not word.isalpha() or not (word.isascii() or max(word) < "\u0250"):
+            return None
+        code = _ids(self.piece(lead + word))
+        return code if len(word) == len(unit) else code + self._tail(unit[len(word):])
+
+    def _tail(self, marks: str) -> bytes:
+        if marks not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails.clear()
+            self.tails[marks] = _ids(self.piece(marks))
+        return self.tails[marks]
+
+    def encode_units(self, units: list[str], lead: str) -> list[bytes]:
+        """Ids of lead + unit for each unit."""
+        out = [self.plain(u, lead) for u in units] if self.piece else [None] * len(units)
+        rest = [i for i, code in enumerate(out) if code is None]
+        for i, code in zip(rest, self.merged([lead + units[i] for i in rest])):
+            out[i] = code
+        return out
+
     def merged(self, texts: list[str]) -> list[bytes]:
         return [_ids(e.ids) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -80,7 +136,7 @@ class WordEncoder:
             new = units.difference(self.memo)
         good = [u for u in new if u and not u[0].isspace()]
         self.memo.update(dict.fromkeys(new.difference(good)))
-        self.memo.update(zip(good, self.merged([" " + u for u in good])))
+        self.memo.update(zip(good, self.encode_units(good, " ")))
 
     def encode(self, texts: Iterable[str], chunk: int = 1 << 20) -> Iterator[bytes]:
         """Ids of each text, `chunk` characters' worth of short texts at a time."""
@@ -107,7 +163,7 @@ class WordEncoder:
             if units:
                 seen.update(units[1:])
         self.learn({u for u in seen if len(u) <= self.longest})
-        heads = self.merged([u[0] if u else "" for u in split])
+        heads = self.encode_units([u[0] if u else "" for u in split], "")
         done = iter([self.special[s] if is_mark else self._span(s, u, h)
                      for (s, is_mark), u, h in zip(spans, split, heads)])
         for p in parts:
@@ -128,4 +184,4 @@ class WordEncoder:
 
 
 def _ids(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
