@@ -114,3 +114,30 @@ def op1_substring_dedup(read):
     from chainlake.llm.substring_dedup import remove_repeats
 
     return remove_repeats(read("documents"), window=35).drop("kept", "spans")
+
+
+@query()
+def op4_language_id(read):
+    """Language of every whole text, learned from two thirds of the labelled ids."""
+    from pyspark.sql import functions as F
+
+    from chainlake.llm.language_id import fold, identify, train
+
+    docs = read("documents")
+    tree = train(docs.where(fold("doc_id", 3) != 1))
+    held_out = F.coalesce(fold("doc_id", 3) == 1, F.lit(False))
+    return identify(docs, tree).withColumn("held_out", held_out)
+
+
+# Fixed values: (verdict, host, path) of the listed rules.
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
+             ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+@query()
+def op3_url_filter(read):
+    """Every page's url judged by the listed rules, then by mined rules."""
+    from chainlake.llm.url_filter import judge, mine
+
+    pages = read("pages").select("page_id", "url")
+    return judge(pages, URL_RULES, mine(pages, URL_RULES))
