@@ -17,6 +17,8 @@ RUNTIME = {
     # can own a third of all rows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Whole documents go to Python workers in batches; long ones must not pile up.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
