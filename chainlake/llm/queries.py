@@ -141,3 +141,42 @@ def op3_url_filter(read):
 
     pages = read("pages").select("page_id", "url")
     return judge(pages, URL_RULES, mine(pages, URL_RULES))
+
+
+def known_words() -> list[str]:
+    """Plain words of a public vocabulary: those it spells with a leading space."""
+    import json
+
+    with open(bpe_50k(), encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    return [w[1:] for w in vocab if w[0] == "Ġ" and w[1:].isascii() and w[1:].isalpha()]
+
+
+@query()
+def op8_secret_scan(read):
+    """Every secret candidate of every whole text, with the forest's verdict."""
+    from chainlake.llm.secret_scan import scan
+
+    return scan(read("documents"), known_words())
+
+
+@query()
+def op6_toxicity(read):
+    """Toxicity of every whole text, learned from four fifths of the labelled ids."""
+    from pyspark.sql import functions as F
+
+    from chainlake.llm.language_id import fold
+    from chainlake.llm.toxicity import score, train
+
+    docs = read("documents")
+    known = read("labels").where(fold("doc_id", 5) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    scorer = train(docs.select("doc_id", "text").join(known, "doc_id"))
+    return score(docs, scorer).withColumn("held_out", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)))
+
+
+@query()
+def op2_decontamination(read):
+    """Benchmark passages found in whole texts, within an edit budget."""
+    from chainlake.llm.decontaminate import leaks
+
+    return leaks(read("documents"), read("benchmark"))

@@ -62,18 +62,21 @@ def tokens_of(host: Column, path: Column) -> Column:
 
 
 def mine(urls: DataFrame, rules: list[tuple[str, str, str]], sample_rows: int = 200_000,
-         least_support: float = 0.002, least_confidence: float = 0.9, longest: int = 3) -> list[tuple]:
+         least_support: float = 0.002, least_rows: int = 20, least_confidence: float = 0.9,
+         longest: int = 3) -> list[tuple]:
     """Rules (tokens, verdict) in order of confidence, support and length, from labelled urls.
 
     Labels are the verdicts of the listed rules and, where none decides, block for seed words. They are
     items among the url's tokens; urls without label count too, so a confidence is the labelled
     share of all urls with those tokens. Spark's FP-growth finds the combinations in at most about
-    `sample_rows` urls, drawn by hash. A rule that a shorter or surer part of it makes needless goes.
+    `sample_rows` urls, drawn by hash, that hold for `least_support` of them and for `least_rows`. A rule that a shorter or surer part of it makes needless goes.
     Fewer than 1 / least_support times the tokens of a url can pass, so the rules are a bounded list.
     """
     from pyspark.ml.fpm import FPGrowth
 
-    share = max(1, urls.count() // sample_rows)
+    total = urls.count()
+    share = max(1, total // sample_rows)
+    support = min(1.0, max(least_support, least_rows * share / max(1, total)))
     drawn = urls.where(F.pmod(F.xxhash64("url"), F.lit(share)) == 0) if share > 1 else urls
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     found = drawn.where("url is not null").select(host.alias("host"), path.alias("path"))
@@ -81,7 +84,7 @@ def mine(urls: DataFrame, rules: list[tuple[str, str, str]], sample_rows: int =
     seeded = F.arrays_overlap(tokens, F.array(*[F.lit(f"word:{w}") for w in SEED_WORDS]))
     label = F.coalesce(listed(F.col("host"), F.col("path"), rules)["verdict"], F.when(seeded, "block"))
     items = F.when(label.isNull(), tokens).otherwise(F.array_append(tokens, F.concat(F.lit("verdict:"), label)))
-    model = FPGrowth(itemsCol="items", minSupport=least_support, minConfidence=least_confidence) \
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=least_confidence) \
         .fit(found.select(items.alias("items")))
     verdict = F.element_at("consequent", 1)
     pairs = model.associationRules.where(
