@@ -130,6 +130,18 @@ def train(docs: DataFrame, sample_rows: int = 4000, id_col: str = "doc_id", text
     return Tree(langs, weights)
 
 
+def languages(texts, tree: Tree) -> tuple[list[str], np.ndarray]:
+    """Language and score of each of some texts; `und` and 0 without a letter or a tree."""
+    texts = [t or "" for t in texts.to_pylist()]
+    langs, scores = ["und"] * len(texts), np.zeros(len(texts))
+    known = [i for i, t in enumerate(texts) if tree.langs and any(map(str.isalpha, t))]
+    if known:
+        found, scores[known] = tree.predict(profiles([texts[i] for i in known]))
+        for i, lang in zip(known, found):
+            langs[i] = lang
+    return langs, scores
+
+
 def identify(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score of every whole text, from the text alone; no shuffle.
 
@@ -141,18 +153,10 @@ def identify(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str
     sent = docs.sparkSession.sparkContext.broadcast(tree)
 
     def run(batches):
-        tree = sent.value
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 some = batch.slice(at, 500)
-                texts = [t or "" for t in some.column(1).to_pylist()]
-                langs, scores = ["und"] * len(texts), np.zeros(len(texts))
-                known = [i for i, t in enumerate(texts) if tree.langs and any(map(str.isalpha, t))]
-                if known:
-                    found, sure = tree.predict(profiles([texts[i] for i in known]))
-                    scores[known] = sure
-                    for i, lang in zip(known, found):
-                        langs[i] = lang
+                langs, scores = languages(some.column(1), sent.value)
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array(langs, pa.string()), pa.array(scores)],
                     names=["doc_id", "lang_pred", "score"])
@@ -162,6 +166,26 @@ def identify(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str
     return picked.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
+def known_language(docs: DataFrame, tree: Tree, least_score: float = 0.2, text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns as they are, whose language is told with `least_score` or more.
+
+    Texts without a letter go. One pass, no shuffle.
+    """
+    import pyarrow as pa
+
+    sent = docs.sparkSession.sparkContext.broadcast(tree)
+    at_text = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                some = batch.slice(at, 500)
+                langs, scores = languages(some.column(at_text), sent.value)
+                yield some.filter(pa.array([g != "und" and p >= least_score for g, p in zip(langs, scores)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fold(id_col: str, parts: int):
     """crc32 of the id as text, modulo `parts`."""
     return F.crc32(F.col(id_col).cast("string")) % parts

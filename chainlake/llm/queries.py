@@ -54,7 +54,7 @@ def op5_simhash_near_dedup(read):
     """Fingerprints of every whole text and the sets that 3 or fewer differing bits link."""
     from chainlake.llm.simhash import near_duplicates
 
-    return near_duplicates(read("documents"), shingle=3, budget=3)
+    return near_duplicates(read("documents"), shingle=3, budget=3).drop("mark", "keeper")
 
 
 @query("""

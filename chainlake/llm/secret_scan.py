@@ -139,17 +139,21 @@ def scan(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_col: st
 
 
 def redact(docs: DataFrame, findings: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
+           text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """`docs` with every place of a document's secrets replaced; all columns and rows stay.
 
     Longer secrets go first, so one that holds another is replaced whole. Rows that share an id (or have
-    none) share their secrets.
+    none) share their secrets. `length_col`, if given, gets the new length of a changed text.
     """
     secret = findings.where("is_secret").groupBy(F.col("doc_id").alias("of")).agg(
         F.collect_set("finding").alias("secrets"))
     ordered = F.reverse(F.array_sort(F.transform("secrets", lambda s: F.struct(F.length(s).alias("n"), s.alias("s")))))
-    clean = F.aggregate(ordered, F.col(f"d.{text_col}"), lambda t, s: F.replace(t, s["s"], F.lit(mark)))
+    text = F.col(f"d.{text_col}")
+    clean = F.aggregate(ordered, text, lambda t, s: F.replace(t, s["s"], F.lit(mark)))
+    new = {text_col: clean}
+    if length_col is not None:
+        new[length_col] = F.length(clean).cast(docs.schema[length_col].dataType)
+    changed = F.col("f.secrets").isNotNull() & text.isNotNull()
     met = docs.alias("d").join(secret.alias("f"), F.col(f"d.{id_col}").eqNullSafe(F.col("f.of")), "left")
-    return met.select(*[F.when(F.col("f.secrets").isNotNull(), clean).otherwise(F.col(f"d.{c}")).alias(c)
-                        if c == text_col else F.col(f"d.{c}") for c in docs.columns])
-
+    return met.select(*[F.when(changed, new[c]).otherwise(F.col(f"d.{c}")).alias(c) if c in new else F.col(f"d.{c}")
+                        for c in docs.columns])

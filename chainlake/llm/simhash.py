@@ -45,7 +45,7 @@ def shingle_hashes(text: str, size: int) -> list[int]:
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """doc_id and 64-bit SimHash (fp, as a signed long) of every whole text; no shuffle.
+    """doc_id, mark (a hash of the text) and 64-bit SimHash (fp, a signed long) of every whole text; no shuffle.
 
     A bit is 1 if it is set in over half of the shingle hashes. Null and word-less texts have
     fingerprint 0. A task holds the hashes of some documents at a time, at least one.
@@ -76,11 +76,12 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
                     flush()
             flush()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(out.view(np.int64))], names=["doc_id", "fp"])
+                [batch.column(0), batch.column(2), pa.array(out.view(np.int64))], names=["doc_id", "mark", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(run, f"doc_id {kind}, fp long")
+    picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                         F.xxhash64(text_col).alias("mark"))
+    return picked.mapInArrow(run, f"doc_id {kind}, mark long, fp long")
 
 
 def trie_join(cells: np.ndarray, keys: np.ndarray, depth: int, budget: int,
@@ -213,20 +214,42 @@ def _turn_back(key: np.ndarray, by: np.ndarray) -> np.ndarray:
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 3, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id of every document.
+    """doc_id, fingerprint (16 hex digits), component_id, mark and keeper of every document.
 
     Fingerprints that differ in at most `budget` bits link; component_id is the smallest doc_id
     reachable by links, itself included. Equal fingerprints are one row before any link is sought.
-    Null ids take no part in the minimum; a component of null ids only has none. Repeated rows
-    come out as often as they come in. Extra columns are ignored; an empty table gives no rows.
+    keeper is true for the row that stands for its component: the one with the smallest doc_id, and
+    among rows with that id the one whose text has the smallest hash (`mark`). Null ids take no part in
+    the minimum; a component of null ids only has none, and keeps the text of smallest hash. Repeated
+    rows come out as often as they come in, keepers too. Extra columns are ignored; an empty table
+    gives no rows.
     """
     fps = settle(fingerprints(docs, shingle, id_col, text_col))
-    least = settle(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
+    least = settle(fps.groupBy("fp").agg(F.min(first).alias("least")))
     linked = components(fingerprint_links(least.select("fp"), budget))
-    named = least.join(linked.withColumnRenamed("node", "fp"), "fp", "left") \
-        .withColumn("root", F.coalesce("root", "fp"))
-    named = settle(named)
-    roots = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = settle(named.join(roots, "root").select("fp", "component_id"))
+    named = settle(least.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
+                   .withColumn("root", F.coalesce("root", "fp")))
+    roots = named.groupBy("root").agg(F.min("least").alias("first"))
+    names = settle(named.join(roots, "root").select("fp", "first"))
     return fps.join(names, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("first.doc_id").alias("component_id"), "mark",
+        (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))).alias("keeper"))
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, budget: int = 3, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns as they are, that stand for their components.
+
+    Rows that repeat a keeper's id and text go too; of their other columns the least combination stays.
+    """
+    judged = near_duplicates(docs, shingle, budget, id_col, text_col)
+    kept = judged.where("keeper").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct()
+    marked = docs.withColumn("__hash", F.xxhash64(text_col))
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__mark"))
+    found = marked.join(kept, same, "left_semi")
+    rest = [c for c in docs.columns if c not in (id_col, text_col)]
+    one = found.groupBy(id_col, "__hash", text_col).agg(F.min(F.struct(*rest)).alias("__rest")) if rest \
+        else found.distinct()
+    return one.select(*[F.col(c) if c in (id_col, text_col) else F.col("__rest")[c].alias(c) for c in docs.columns])

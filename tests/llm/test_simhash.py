@@ -4,12 +4,13 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tests.llm.helpers import ODD, documents
 
 from chainlake.llm.components import components
 from chainlake.llm.local_graph import merge
 from chainlake.llm.queries import QUERIES
-from chainlake.llm.simhash import fingerprint_links, near_duplicates, shingle_hashes, trie_join
+from chainlake.llm.simhash import fingerprint_links, near_duplicates, one_of_each, shingle_hashes, trie_join
 
 
 def plain_fingerprint(text, size=3):
@@ -111,7 +112,16 @@ def test_documents(spark):
     least = {s: min(i for i, t in zip(ids, sets) if t == s and i is not None) for s in set(sets)
              if any(i is not None for i, t in zip(ids, sets) if t == s)}
     rows = sorted(((i, f"{w:016x}", least.get(s)) for i, w, s in zip(ids, want, sets)), key=repr)
-    assert sorted(map(tuple, got), key=repr) == rows
+    assert sorted((tuple(r)[:3] for r in got), key=repr) == rows
+    groups = {}
+    for r in got:
+        if r.keeper:
+            groups.setdefault(sets[want.index(int(r.fingerprint, 16))], set()).add((r.doc_id, r.mark))
+    assert sorted(map(len, groups.values())) == [1] * len(set(sets))
+    assert all((r.doc_id == r.component_id) for r in got if r.keeper)
+    left = one_of_each(docs.withColumn("extra", F.lit(1)))
+    assert left.columns == [*docs.columns, "extra"]
+    assert sorted((r.doc_id for r in left.collect()), key=repr) == sorted(least.values(), key=repr)
     assert near_duplicates(documents(spark, [])).count() == 0
     assert len(shingle_hashes("a b c d", 3)) == 2
 
