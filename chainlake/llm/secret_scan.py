@@ -147,7 +147,7 @@ def redact(docs: DataFrame, findings: DataFrame, mark: str = "[SECRET]", id_col:
     """
     secret = findings.where("is_secret").groupBy(F.col("doc_id").alias("of")).agg(
         F.collect_set("finding").alias("secrets"))
-    ordered = F.reverse(F.array_sort(F.transform("secrets", lambda s: F.struct(F.length(s).alias("n"), s.alias("s")))))
+    ordered = F.reverse(F.array_sort(F.transform("f.secrets", lambda s: F.struct(F.length(s).alias("n"), s.alias("s")))))
     text = F.col(f"d.{text_col}")
     clean = F.aggregate(ordered, text, lambda t, s: F.replace(t, s["s"], F.lit(mark)))
     new = {text_col: clean}
