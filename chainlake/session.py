@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -46,14 +48,16 @@ def local_session(cpus: str = "*", partitions: int = 8, memory: str = "12g") ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors reach: `spark.checkpoint.dir`, or a local one on local masters."""
+    """Folder all executors reach: `spark.checkpoint.dir`; on local masters without it, one that ends with the process."""
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="chainlake-"))
+    folder = tempfile.mkdtemp(prefix="chainlake-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
@@ -71,9 +75,23 @@ def settle(df: DataFrame) -> DataFrame:
     return back
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is at `path`, in whatever store it names."""
+    store, place = _place(spark, path)
+    return store.exists(place)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    store, place = _place(spark, path)
+    store.delete(place, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete settled tables that no later plan reads."""
     for df in tables:
-        spark, path = df.sparkSession, df._settled_at
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        delete_path(df.sparkSession, df._settled_at)

@@ -22,21 +22,37 @@ def test_blocks_wait_for_the_lag_across_restarts(spark, tmp_path):
     schema = spark.createDataFrame([], KIND).schema
 
     def cycle():
-        step = st.hold_back(st.save_cursor(st.batch_sink(out), state), state, lag=5)
+        step = st.hold_back(st.batch_sink(out), state, lag=5)
         st.run_incremental(st.stream_blocks(spark, src, schema, max_files=1), step, check).awaitTermination()
         return sorted(r.number for r in spark.read.schema(schema).parquet(out).collect())
 
     land(spark, src, 1, 10)
     assert cycle() == list(range(1, 6))
-    assert st.last_block(spark, state) == 5
     land(spark, src, 11, 12)
     land(spark, src, 13, 20)
     assert cycle() == list(range(1, 16))
     assert cycle() == list(range(1, 16))
-    assert st.resume_block(spark, state, 10) == 15
+    assert len(list((tmp_path / "state" / "held").iterdir())) <= 2
+    spark.createDataFrame([(None, "odd")], KIND).coalesce(1).write.mode("append").parquet(src)
+    assert cycle() == list(range(1, 16))
+    assert [r.hash for r in spark.read.schema(schema).parquet(f"{state}/quarantine").collect()] == ["odd"]
+
+
+def test_a_broken_state_is_an_error(spark, tmp_path):
+    state = tmp_path / "state"
+    (state / "held" / "0").mkdir(parents=True)
+    (state / "held" / "0" / "part-0.parquet").write_text("not parquet")
+    rows = spark.createDataFrame([(1, "a")], KIND)
+    with pytest.raises(Exception, match="(?i)parquet"):
+        st.hold_back(st.batch_sink(str(tmp_path / "out")), str(state), lag=0)(rows, 1)
+
+
+def test_a_start_after_a_gap_is_refused(spark):
+    table = spark.createDataFrame([(15, "a")], KIND)
+    st.check_start(table, 16)
+    st.check_start(table.limit(0), 3)
     with pytest.raises(ValueError):
-        st.resume_block(spark, state, 16)
-    assert st.resume_block(spark, str(tmp_path / "fresh"), 3) == 3
+        st.check_start(table, 17)
 
 
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
@@ -47,15 +63,39 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 1
 
 
-def test_repeated_items_are_dropped(spark, tmp_path):
+@pytest.mark.parametrize("max_files", [1, 100])
+def test_late_items_are_kept_and_repeats_dropped(spark, tmp_path, max_files):
     src, out = str(tmp_path / "src"), str(tmp_path / "out")
     t0 = datetime(2023, 1, 1)
-    rows = [(f"i{i % 7}", t0 + timedelta(hours=i % 7)) for i in range(30)]
-    df = spark.createDataFrame(rows, "item_id string, block_timestamp timestamp").repartition(3)
-    df.write.parquet(src)
-    stream = st.dedupe_items(st.stream_blocks(spark, src, df.schema, max_files=1), "1 day")
-    st.run_incremental(stream, st.batch_sink(out), str(tmp_path / "c")).awaitTermination()
-    assert listed(spark.read.schema("item_id string").parquet(out).select("item_id")) == [(f"i{i}",) for i in range(7)]
+    kind = "item_id string, block_timestamp timestamp"
+    for k in reversed(range(4)):  # files go back in time, by weeks
+        rows = [(f"i{20 * k + i % 20}", t0 + timedelta(days=7 * k, hours=i % 20)) for i in range(30)]
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(src)
+    stream = st.stream_blocks(spark, src, spark.createDataFrame([], kind).schema, max_files=max_files)
+    sink = st.unique_sink(out, ["item_id"])
+    rows = stream.withColumn("day", F.to_date("block_timestamp"))
+    st.run_incremental(rows, sink, str(tmp_path / "c")).awaitTermination()
+    found = lambda: sorted(int(r.item_id[1:]) for r in spark.read.parquet(out).collect())
+    assert found() == list(range(80))
+    # A batch that runs twice replaces itself.
+    last = spark.createDataFrame([("i3", t0), ("i99", t0), ("i99", t0)], kind).withColumn("day", F.to_date("block_timestamp"))
+    sink(last, 9)
+    sink(last, 9)
+    assert found() == [*range(80), 99]
+
+
+def test_records_wait_for_their_block(spark, tmp_path):
+    seen = []
+    step = st.with_blocks(lambda rows, at: seen.append(sorted((r.kind, r.number) for r in rows.collect())),
+                          str(tmp_path / "state"))
+    rows = lambda *r: spark.createDataFrame(list(r), "kind string, number string")
+    step(rows(("receipt", "1"), ("receipt", "2"), ("block", "2")), 0)
+    step(rows(("block", "3")), 1)
+    step(rows(("block", "1"), ("receipt", "3")), 2)
+    step(rows(("receipt", "1")), 3)
+    assert seen == [[("block", "2"), ("receipt", "2")], [("block", "3")],
+                    [("block", "1"), ("block", "3"), ("receipt", "1"), ("receipt", "3")],
+                    [("block", "1"), ("receipt", "1")]]
 
 
 def test_each_batch_builds_its_entities(spark, tmp_path):
@@ -113,19 +153,3 @@ def test_trace_entities(spark):
         (0, "create_0xt_", 1), (1, "call_0xt_0", 0), (2, "reward_1_0", 1)]
     assert listed(built["contract"], "address", "is_erc20", "is_erc721", "item_id") == [("0xC1", True, False, "contract_1_0xC1")]
     assert listed(built["token"], "symbol", "item_id", "block_hash") == [("SYM", "token_1_0xc1", "0xb1")]
-
-
-def test_deltas_fold_into_a_base(spark, tmp_path):
-    path = str(tmp_path / "t")
-    schema = spark.createDataFrame([], "k string, v int").schema
-    sink, merge = st.delta_sink(path), st.newest_per_key(["k"])
-    rows = lambda *r: spark.createDataFrame(list(r), "k string, v int")
-    read = lambda: listed(st.read_state(spark, path, schema, merge))
-    sink(rows(("a", 1), ("b", 1)), 0)
-    sink(rows(("a", 2)), 1)
-    assert read() == [("a", 2), ("b", 1)]
-    assert st.fold_state(spark, path, schema, merge) == 1
-    sink(rows(("b", 3), ("c", 3)), 2)
-    sink(rows(("b", 3), ("c", 3)), 2)
-    assert read() == [("a", 2), ("b", 3), ("c", 3)]
-    assert st.fold_state(spark, path, schema, merge) == 2 and read() == [("a", 2), ("b", 3), ("c", 3)]
