@@ -148,9 +148,9 @@ def _path_text(path: Column) -> Column:
 def trace_status(traces: DataFrame) -> DataFrame:
     """Status 0 for a trace that failed or has a failed ancestor, else 1.
 
-    Every trace of a transaction asks for its own proper prefixes among the
-    failed nodes. The answers are reduced by key before they meet the traces,
-    so a transaction with a huge call tree never gathers in one task.
+    In transactions with a failed node, every trace asks for its own proper prefixes among
+    the failed ones. Answers are reduced by key before they meet the traces. All traces
+    below one failed root ask for the same key; that join can be split by its size.
     """
     failed = F.length("error") > 0
     scoped = scalars.in_transaction()
@@ -159,16 +159,18 @@ def trace_status(traces: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.greatest(depth - 1, F.lit(0))),
         lambda n: _path_text(F.slice(F.col("trace_address"), F.lit(1), n)),
     )
-    asks = (
-        traces.where(scoped & (depth > 0))
-        .select("transaction_hash", _path_text(F.col("trace_address")).alias("_path"),
-                F.explode(prefixes).alias("_above"))
-    )
     roots = (
         traces.where(scoped & F.coalesce(failed, F.lit(False)))
         .select("transaction_hash", _path_text(F.col("trace_address")).alias("_above"))
         .distinct()
     )
+    # Few transactions fail anywhere; the others ask nothing.
+    asks = (
+        traces.where(scoped & (depth > 0))
+        .join(roots.select("transaction_hash").distinct(), "transaction_hash", "left_semi")
+        .select("transaction_hash", _path_text(F.col("trace_address")).alias("_path"),
+                F.explode(prefixes).alias("_above"))
+    )
     below = asks.join(roots, ["transaction_hash", "_above"], "left_semi").select(
         "transaction_hash", "_path"
     ).distinct().withColumn("_below", F.lit(True))

@@ -78,7 +78,7 @@ def sorted_by(df: DataFrame, col: str) -> DataFrame:
     return df.orderBy(F.col(col).desc())
 
 
-def capped(df: DataFrame, order: list[Column], n: int = 1000) -> DataFrame:
+def capped(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from chainlake.functions import scalars
 from chainlake.operators import derive
 from chainlake.operators.joins import join_ci, rank_history  # noqa: F401  (B25, B26)
 from chainlake.operators.latest import one_per_key
+from chainlake.session import small
 
 # Measures, first block, score limits, and hidden addresses.
 MEASURES = ["reputation_score", "total_transfer", "total_receive", "in_degree", "out_degree",
@@ -162,10 +162,9 @@ def eoa_histogram(scores: DataFrame) -> DataFrame:
 def with_total(df: DataFrame, col: str, out: str) -> DataFrame:
     """Column total beside each row of a grouped result.
 
-    Meant for results with one row per band or label category: the window sees
-    only those few rows, and the input behind them is scanned once.
+    The total is a subquery of its own, so groups in any number stay where they are.
     """
-    return df.withColumn(out, F.sum(col).over(W.partitionBy()))
+    return df.withColumn(out, df.agg(F.sum(col)).scalar())
 
 
 def with_share(df: DataFrame, col: str, out: str, digits: int | None = None) -> DataFrame:
@@ -250,7 +249,10 @@ def contract_categories(scores: DataFrame, labels: DataFrame, tx: DataFrame,
     totals = with_share(totals, "total_reputation_score", "total_reputation_score_percentage")
     totals = with_share(totals, "num_of_addresses", "num_of_addresses_percentage")
     # Distinct pairs first: joins and counts then see each caller and contract once.
-    pairs = since(tx, day).select("from_address", F.lower("to_address").alias("to_address")).distinct()
+    # Calls to addresses without label go before anything is shuffled by caller.
+    known = labels.select(F.lower("address").alias("to_address")).distinct()
+    calls = since(tx, day).select("from_address", F.lower("to_address").alias("to_address"))
+    pairs = calls.join(small(known), "to_address", "left_semi").distinct()
     callers = (
         join_ci(pairs, labels, "to_address", "address", "inner", ["category"])
         .select("from_address", category.alias("category")).distinct()
@@ -342,12 +344,13 @@ def category_calls(tx: DataFrame, labels: DataFrame, category: str | None = None
                    day: str = SINCE) -> DataFrame:
     """Transactions per (category, sender, day).
 
-    Calls are counted per target before any join, so a hub contract or sender
-    is a handful of rows per day by then. A target labelled twice counts twice.
+    Calls of targets outside the categories go first. Calls are counted per target before the
+    labels are met, so a hub contract or sender is a handful of rows per day by then. A target labelled twice counts twice.
     """
     named = labels.where(F.col("category") == category) if category else labels.where(
         F.col("category").isin(CATEGORIES))
-    calls = since(tx, day).groupBy(
+    known = small(named.select(F.col("address").alias("to_address")).distinct())
+    calls = since(tx, day).join(known, "to_address", "left_semi").groupBy(
         "from_address", "to_address", F.to_date("block_timestamp").alias("transaction_date")
     ).agg(F.count(F.col("hash")).alias("_n"))
     targets = named.groupBy(F.col("address").alias("to_address"), "category").agg(

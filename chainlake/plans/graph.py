@@ -235,7 +235,7 @@ def _cross_strip(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def kendall_tau(pairs: DataFrame, a: str = "rank_a", b: str = "rank_b", key: str = "address",
-                top: int | None = None, strip: int = 200_000, max_strips: int = 2000) -> DataFrame:
+                top: int | None = None, strip: int = 200_000) -> DataFrame:
     """Tau-b of two columns as one row `n, tau`.
 
     Both columns become positions 1..n. Both axes are cut into strips of equal
@@ -254,7 +254,7 @@ def kendall_tau(pairs: DataFrame, a: str = "rank_a", b: str = "rank_b", key: str
         return placed.sparkSession.range(1).select(
             F.lit(n).cast("bigint").alias("n"), F.lit(None).cast("double").alias("tau")
         )
-    strips = min(max_strips, max(1, math.ceil(n / strip)))
+    strips = max(1, math.ceil(n / strip))
     size = math.ceil(n / strips)
     cells = placed.select(
         "x", "y", F.floor((F.col("x") - 1) / size).cast("int").alias("xs"),

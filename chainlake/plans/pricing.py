@@ -10,6 +10,7 @@ from chainlake.operators import derive
 from chainlake.operators.joins import left_receipts, price_escrows
 from chainlake.operators.latest import one_price_id
 from chainlake.operators.rows import union_aligned
+from chainlake.session import small
 
 DAY = 86400
 
@@ -27,6 +28,20 @@ def _seconds(ts: str) -> Column:
     return F.col(ts).cast("double")
 
 
+def _by_day(df: DataFrame, quotes: DataFrame, day: Column, out: str, keep) -> DataFrame:
+    """Left join of `df` on the quotes of one id, by day, without moving `df`.
+
+    `quotes` has `_day`, `_end` and `out`. They become one row per day with the day's quotes in a
+    list; as many rows as days are counted, and sent to every task. `keep` says which quotes
+    of the day hold for a row. As in any left join, a row with no quote stays once, with null.
+    """
+    days = quotes.groupBy("_day").agg(F.collect_list(F.struct("_end", out)).alias("_quotes"))
+    met = df.join(small(days), day == F.col("_day"), "left")
+    fits = F.filter("_quotes", keep)
+    return met.withColumn("_quote", F.explode_outer(fits)).withColumn(out, F.col("_quote")[out]) \
+        .drop("_quotes", "_quote", "_day")
+
+
 def with_interval_price(
     df: DataFrame, prices: DataFrame, id_col: str | int, ts: str = "block_timestamp",
     basis: str = "open", out: str = "price",
@@ -50,9 +65,11 @@ def with_interval_price(
     )
     seconds = _seconds(ts)
     day = F.floor(seconds / DAY).cast("bigint")
+    if isinstance(id_col, int):
+        return _by_day(df, quotes.drop("_id"), day, out,
+                       lambda q: (seconds < q["_end"]) & (seconds > q["_end"] - DAY))
     match = (day == F.col("_day")) & (seconds < F.col("_end")) & (seconds > F.col("_end") - DAY)
-    if not isinstance(id_col, int):
-        match = (F.col(id_col) == F.col("_id")) & match
+    match = (F.col(id_col) == F.col("_id")) & match
     return df.join(quotes, match, "left").drop("_id", "_end", "_day")
 
 
@@ -68,9 +85,9 @@ def with_daily_price(
         F.col("id").alias("_id"), F.to_date(F.timestamp_seconds("timestamp")).alias("_day"),
         basis_price(basis).alias(out),
     )
-    match = F.to_date(ts) == F.col("_day")
-    if not isinstance(id_col, int):
-        match = (F.col(id_col) == F.col("_id")) & match
+    if isinstance(id_col, int):
+        return _by_day(df, quotes.withColumn("_end", F.lit(0)), F.to_date(ts), out, lambda q: F.lit(True))
+    match = (F.to_date(ts) == F.col("_day")) & (F.col(id_col) == F.col("_id"))
     return df.join(quotes, match, "left").drop("_id", "_day")
 
 

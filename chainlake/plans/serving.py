@@ -15,7 +15,6 @@ CHAINS = {"ETH": "eth", "BNB": "bnb", "ARB": "arb", "MATIC": "matic", "TRX": "tr
           "XRP": "xrp", "AURORA": "aurora", "BASE": "base", "NEO": "neo"}
 CASE_SENSITIVE = {"trx", "xrp", "neo"}
 MIN_TAKE, DEFAULT_TAKE, MAX_TAKE = 10, 50, 100
-LOOKUP_CAP = 1000
 ADDRESS_SORTS = ["reputation_score", "total_txn", "total_volume", "total_gas_spent",
                  "is_contract", "degree"]
 PROJECT_SORTS = ["total_grs", "total_txn", "total_gas", "total_degree", "total_tx_volume",
@@ -64,7 +63,8 @@ def rank_addresses(top: DataFrame, sorting: DataFrame, labels: DataFrame, addres
     """Best addresses by a column, from the sorting table; one address, from the full one."""
     if sort not in ADDRESS_SORTS:
         raise ValueError(f"unknown sort {sort!r}")
-    take = max(MIN_TAKE, min(MAX_TAKE, take))
+    if not MIN_TAKE <= take <= MAX_TAKE:
+        raise ValueError(f"take must be from {MIN_TAKE} to {MAX_TAKE}, not {take}")
     rows = top.where(F.col("address") == address) if address else sorting
     keys = [_directed(sort, order)]
     if sort == "is_contract":
@@ -122,19 +122,22 @@ def page_meta(projects: DataFrame, page: int = 1, take: int = DEFAULT_TAKE, **ch
 
 
 def score_series(reputations: DataFrame, addresses: list[str], measure: str | None = None,
-                 chain: str = "eth") -> DataFrame:
-    """Score and one more measure of given addresses over time, at most 1000 rows."""
+                 chain: str = "eth", most: int | None = None) -> DataFrame:
+    """Score and one more measure of given addresses over time; `most` rows if the caller says so."""
     rows = reputations.where(F.col("address").isin(fold_addresses(addresses, chain)))
     cols = ["address", "reputation_score", "date"]
     source, name = MEASURES.get(measure, ("reputation_score", "reputation_score"))
     extra = [] if name in cols else [F.col(source).alias(name)]
-    return rows.select(*cols, *extra).orderBy("address", "date").limit(LOOKUP_CAP)
+    found = rows.select(*cols, *extra).orderBy("address", "date")
+    return found if most is None else found.limit(most)
 
 
-def latest_score(top: DataFrame, addresses: list[str], chain: str = "eth") -> DataFrame:
+def latest_score(top: DataFrame, addresses: list[str], chain: str = "eth", most: int | None = None) -> DataFrame:
+    """Newest score of each given address; `most` rows if the caller says so."""
     rows = top.where(F.col("address").isin(fold_addresses(addresses, chain)))
     newest = latest_by(rows.select("address", "reputation_score", "date"), ["address"], "date")
-    return newest.orderBy("address").limit(LOOKUP_CAP)
+    found = newest.orderBy("address")
+    return found if most is None else found.limit(most)
 
 
 def roll_up_series(series: DataFrame, frame: str) -> DataFrame:

@@ -273,7 +273,7 @@ def _(t):
     where date = (select max(date) from {reputations}) order by rank, address limit 1000""")
 def _(t):
     newest = t.reputations.where(F.col("date") == t.reputations.agg(F.max("date")).scalar())
-    return ranking.capped(newest, [F.col("rank").asc(), F.col("address").asc()]).select("address", "reputation_score")
+    return ranking.capped(newest, [F.col("rank").asc(), F.col("address").asc()], 1000).select("address", "reputation_score")
 
 
 @query("o08_sorted_by", """

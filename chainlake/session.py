@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings every job relies on; cluster sizing stays with the caller.
 RUNTIME = {
@@ -75,6 +76,12 @@ def settle(df: DataFrame) -> DataFrame:
     return back
 
 
+def small(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """`df`, to be broadcast if it is counted to have at most `rows` rows; else left to the planner."""
+    counted = df.limit(rows + 1).count()
+    return F.broadcast(df) if counted <= rows else df
+
+
 def _place(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place

@@ -159,8 +159,11 @@ def duplicate_blocks(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("number").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def _listed(df: DataFrame, name: str, order: list[str], part_rows: int) -> DataFrame:
-    """Items of each block as sorted lists, cut into parts beyond `part_rows` items."""
+def _listed(df: DataFrame, name: str, order: list[str], part_rows: int | None) -> DataFrame:
+    """Items of each block as sorted lists, cut into parts of about `part_rows` items if that is given."""
+    if part_rows is None:
+        lead = F.struct(*order, *[c for c in df.columns if c not in (*order, "block_number")])
+        return df.groupBy("block_number", F.lit(0).alias("part")).agg(F.sort_array(F.collect_list(lead)).alias(name))
     sizes = df.groupBy("block_number").agg(
         F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias("_parts")
     ).where("_parts > 1")
@@ -175,12 +178,12 @@ def _listed(df: DataFrame, name: str, order: list[str], part_rows: int) -> DataF
 
 
 def block_bundles(blocks: DataFrame, tx: DataFrame, logs: DataFrame, transfers: DataFrame,
-                  traces: DataFrame | None = None, part_rows: int = 50_000) -> DataFrame:
+                  traces: DataFrame | None = None, part_rows: int | None = None) -> DataFrame:
     """One nested document per block; a block number has to be unique.
 
-    A document holds up to `part_rows` items per list. A block beyond that
-    continues in documents with `part` 1, 2, …, so no list grows without
-    bound and nothing is left out.
+    A block's gas limit bounds its lists. With `part_rows`, a document holds about that many
+    items per list and a block beyond that continues in documents with `part` 1, 2, …; nothing
+    is left out either way.
     """
     lists = [("transactions", tx, ["transaction_index", "hash"]),
              ("logs", logs, ["log_index", "transaction_hash"]),

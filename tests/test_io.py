@@ -199,6 +199,12 @@ def test_not_in_list_drops_null(spark):
     assert listed(rows.exclude_addresses(df, ["a"])) == [("b",)]
 
 
+def test_lookups_are_not_cut(spark):
+    rows = spark.range(1200).selectExpr("'a' address", "id * 1.0d reputation_score", "date_add(date'2020-01-01', cast(id as int)) date")
+    assert serving.score_series(rows, ["A"]).count() == 1200
+    assert serving.score_series(rows, ["A"], most=7).count() == 7
+
+
 def test_chains_and_case():
     assert serving.chain_prefix("MATIC") == "matic" and serving.chain_prefix("nope") == "eth"
     assert serving.fold_addresses(["0xAB"], "eth") == ["0xab"] and serving.fold_addresses(["rAB"], "xrp") == ["rAB"]
@@ -208,6 +214,6 @@ def test_chains_and_case():
 
 def test_ranking_arguments_are_checked(spark):
     df = spark.createDataFrame([("a", "0")], "address string, identity string")
-    for bad in ({"sort": "address; drop"}, {"order": "sideways"}):
+    for bad in ({"sort": "address; drop"}, {"order": "sideways"}, {"take": 5}, {"take": 500}):
         with pytest.raises(ValueError):
             serving.rank_addresses(df, df, df, **bad)

@@ -52,6 +52,21 @@ def test_native_leg_is_not_a_nested_loop(spark):
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
+def test_transactions_stay_where_they_are_for_native_prices(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        prices = quotes(spark, [(1, 1, 2.0, 4.0, T0 + DAY)])
+        tx = spark.createDataFrame([(1, at(5))], "i int, block_timestamp timestamp")
+        for priced in (pricing.with_interval_price(tx, prices, 1), pricing.with_daily_price(tx, prices, 1)):
+            plan = priced._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+            # The one shuffle is that of the quotes, into one row per day.
+            assert plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(_day")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_volume_keeps_null_roles_apart(spark):
     rows = spark.createDataFrame([("a", "b", None, 1.0), ("a", None, "t", 2.0), ("b", "a", "t", None)],
                                  "from_address string, to_address string, token_contract string, volume double")
