@@ -76,7 +76,7 @@ def anchored_runs(texts: list[bytes], window: int, gram: int):
     return doc[start], start - first[doc[start]], count, grams[anchor[head]].view(np.int64)
 
 
-def _in_chunks(column, most: int = 1 << 22):
+def _in_chunks(column, most: int = 1 << 20):
     """(first row, texts as bytes) of some rows at a time, at least one."""
     held, size, first = [], 0, 0
     for i, text in enumerate(column):
@@ -129,25 +129,27 @@ def candidate_segments(rows: DataFrame, window: int, gram: int) -> DataFrame:
     def cut(batches):
         seen: set = set()
         for batch in batches:
-            row, keys, starts, segs, texts = [], [], [], [], []
-            for i, (text, wanted) in enumerate(zip(batch.column(2), batch.column(3))):
-                words = text.as_py().encode().split()
-                for r in wanted.as_py():
-                    at = r["start"]
-                    words_of = b" ".join(words[at:at + r["count"] + window - 1])
-                    seg = xxh64_intdigest(words_of)
-                    new = (r["key"], seg) not in seen
-                    if new:
-                        if len(seen) > 500_000:
-                            seen.clear()
-                        seen.add((r["key"], seg))
-                    row.append(i), keys.append(r["key"]), starts.append(at)
-                    segs.append(seg), texts.append(words_of if new else None)
-            ours = batch.take(pa.array(row, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [ours.column(0), ours.column(1), pa.array(keys, pa.int64()), pa.array(starts, pa.int32()),
-                 pa.array(np.array(segs, np.uint64).view(np.int64)), pa.array(texts, pa.string())],
-                names=["doc_id", "mark", "key", "start", "seg", "words"])
+            for first in range(0, batch.num_rows, 50):
+                some = batch.slice(first, 50)
+                row, keys, starts, segs, texts = [], [], [], [], []
+                for i, (text, wanted) in enumerate(zip(some.column(2), some.column(3))):
+                    words = text.as_py().encode().split()
+                    for r in wanted.as_py():
+                        at = r["start"]
+                        words_of = b" ".join(words[at:at + r["count"] + window - 1])
+                        seg = xxh64_intdigest(words_of)
+                        new = (r["key"], seg) not in seen
+                        if new:
+                            if len(seen) > 100_000:
+                                seen.clear()
+                            seen.add((r["key"], seg))
+                        row.append(i), keys.append(r["key"]), starts.append(at)
+                        segs.append(seg), texts.append(words_of if new else None)
+                ours = some.select([0, 1]).take(pa.array(row, pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [ours.column(0), ours.column(1), pa.array(keys, pa.int64()), pa.array(starts, pa.int32()),
+                     pa.array(np.array(segs, np.uint64).view(np.int64)), pa.array(texts, pa.string())],
+                    names=["doc_id", "mark", "key", "start", "seg", "words"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     out = settle(found.mapInArrow(cut, f"doc_id {kind}, mark long, key long, start int, seg long, words string"))
@@ -155,7 +157,7 @@ def candidate_segments(rows: DataFrame, window: int, gram: int) -> DataFrame:
     return out
 
 
-def repeated_spans(segments: DataFrame, window: int, shard_words: int = 1_000_000,
+def repeated_spans(segments: DataFrame, window: int, shard_words: int = 500_000,
                    key_segments: int = 20_000) -> DataFrame:
     """key, seg and the word span [from, to) of each stretch of repeated windows.
 
@@ -194,7 +196,7 @@ def repeated_spans(segments: DataFrame, window: int, shard_words: int = 1_000_00
             edge = np.flatnonzero(np.diff(hits.astype(np.int8), prepend=0, append=0))
             for a, b in zip(edge[::2], edge[1::2]):
                 row.append(i), begin.append(a), end.append(b + window - 1)
-        ours = got.take(pa.array(row, pa.int64()))
+        ours = got.select(["key", "seg", "at"]).take(pa.array(row, pa.int64()))
         at = ours["at"].to_numpy()
         return pa.table({"key": ours["key"], "seg": ours["seg"],
                          "from": pa.array(at + np.array(begin, np.int32), pa.int32()),
@@ -257,8 +259,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 12, id_col: st
 
     def strip(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 50):
+                some = batch.slice(at, 50)
                 n_words, n_removed, digests, kept, spans = [], [], [], [], []
                 for text, found in zip(some.column(1), some.column(2)):
                     words = text.as_py().encode().split()
