@@ -62,17 +62,35 @@ def hex_dbl(col: Column) -> Column:
     return F.coalesce(hex_dec(col).cast("double"), F.when(_is_hex(col), total))
 
 
-def _as_decimal_text(value):
-    try:
-        return str(int(value, 16))
-    except (TypeError, ValueError):
-        return None
+PIECE = 7         # hex digits per step of the long conversion
+BASE = 10**9      # its decimal digits, nine at a time; a step stays inside a BIGINT
 
 
-@F.pandas_udf(T.StringType())
-def hex_text(col: pd.Series) -> pd.Series:
-    """Exact decimal text of a hex integer of up to 256 bits."""
-    return col.map(_as_decimal_text)
+def _long_text(col: Column) -> Column:
+    """Decimal text of a whole word, piece by piece from its high end."""
+    digits = F.lpad(_word(col), 70, "0")
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.conv(
+        F.substring(digits, i * PIECE + 1, F.lit(PIECE)), 16, 10).cast("bigint"))
+
+    def step(number: Column, piece: Column) -> Column:
+        def carry(state: Column, digit: Column) -> Column:
+            value = digit * F.lit(16**PIECE) + state["carry"]
+            return F.struct(F.call_function("div", value, F.lit(BASE).cast("bigint")).alias("carry"),
+                            F.concat(state["out"], F.array(value % BASE)).alias("out"))
+
+        start = F.struct(piece.alias("carry"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(number, start, carry)["out"]
+
+    number = F.aggregate(pieces, F.array_repeat(F.lit(0).cast("bigint"), 9), step)
+    text = F.array_join(F.transform(F.reverse(number), lambda d: F.lpad(d.cast("string"), 9, "0")), "")
+    return F.ltrim(text, F.lit("0"))
+
+
+def hex_text(col: Column | str) -> Column:
+    """Exact decimal text of a hex integer of up to 256 bits; NULL for any other text."""
+    col = F.col(col) if isinstance(col, str) else col
+    short = hex_dec(col)
+    return F.when(short.isNotNull(), short.cast("string")).when(_is_hex(col), _long_text(col))
 
 
 def text_long(col: Column) -> Column:

@@ -24,10 +24,10 @@ def test_workers_need_no_copy_of_the_package(tmp_path):
     script.write_text(
         f"import sys; sys.path.insert(0, {root!r})\n"
         "from chainlake.session import local_session\n"
-        "from chainlake.functions.hexes import hex_text\n"
+        "from chainlake.functions.hexes import base58\n"
         "spark = local_session('1', 1, '1g')\n"
-        "df = spark.createDataFrame([('0xff',)], 'x string')\n"
-        "print('got', df.select(hex_text('x')).first()[0])\n")
+        "df = spark.createDataFrame([('0x' + '0' * 64,)], 'x string')\n"
+        "print('got', df.select(base58('x')).first()[0])\n")
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180)
-    assert "got 255" in done.stdout, done.stderr[-2000:]
+    assert "got QmNLei78zWmzUdbeRB3CiUfAizWUrbeeZh5K1rhAQKCh51" in done.stdout, done.stderr[-2000:]

@@ -153,3 +153,31 @@ def test_trace_entities(spark):
         (0, "create_0xt_", 1), (1, "call_0xt_0", 0), (2, "reward_1_0", 1)]
     assert listed(built["contract"], "address", "is_erc20", "is_erc721", "item_id") == [("0xC1", True, False, "contract_1_0xC1")]
     assert listed(built["token"], "symbol", "item_id", "block_hash") == [("SYM", "token_1_0xc1", "0xb1")]
+
+
+def test_missing_partners_are_errors(spark):
+    blocks = spark.createDataFrame([(1, "0xb1", datetime(2023, 1, 1))], "number int, hash string, timestamp timestamp")
+    logs = spark.createDataFrame([(1, 0), (2, 0)], "block_number int, log_index int")
+    assert entities.with_own_block(logs.where("block_number = 1"), blocks).first().block_hash == "0xb1"
+    with pytest.raises(Exception, match="no block with number 2"):
+        entities.with_own_block(logs, blocks).collect()
+    tx = spark.createDataFrame([("0xa",), ("0xb",)], "hash string")
+    fields = ["cumulative_gas_used", "gas_used", "contract_address", "root", "status", "effective_gas_price"]
+    receipts = spark.createDataFrame([("0xa", *[None] * 6)], "transaction_hash string, " + ", ".join(f"{f} string" for f in fields))
+    assert entities.with_own_receipt(tx.where("hash = '0xa'"), receipts).count() == 1
+    with pytest.raises(Exception, match="no receipt of 0xb"):
+        entities.with_own_receipt(tx, receipts).collect()
+    lost = spark.createDataFrame([("0xt", [0, 1], "call", None)], "transaction_hash string, trace_address array<int>, trace_type string, error string")
+    with pytest.raises(ValueError, match="no parent"):
+        entities.build_entities(["trace"], blocks, traces=lost)
+
+
+def test_tokens_without_metadata_stay(spark):
+    selectors = "".join("63" + s for s in ("18160ddd", "70a08231", "a9059cbb", "23b872dd", "095ea7b3", "dd62ed3e"))
+    traces = spark.createDataFrame([(0, 1, "0xt", [], "create", None, "0xa", "0xC1", None, None, "0x" + selectors + "5b")],
+        "position int, block_number int, transaction_hash string, trace_address array<int>, trace_type string,"
+        "reward_type string, from_address string, to_address string, value decimal(38,0), error string, output string")
+    blocks = spark.createDataFrame([(1, "0xb1", datetime(2023, 1, 1))], "number int, hash string, timestamp timestamp")
+    calls = spark.createDataFrame([], "address string, symbol string, name string, decimals string, total_supply string, block_number int")
+    built = entities.build_entities(["token"], blocks, traces=traces, token_calls=calls)
+    assert listed(built["token"], "address", "symbol", "block_hash") == [("0xc1", None, "0xb1")]
