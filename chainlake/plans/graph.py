@@ -14,7 +14,7 @@ from chainlake.functions import scalars
 from chainlake.operators import rows
 from chainlake.operators.joins import combine_metrics, with_weights
 from chainlake.operators.ranking import add_rank, last_transaction
-from chainlake.session import settle
+from chainlake.session import discard, settle
 
 # Out-edges of one source that share a task before the source is split.
 EDGES_PER_SLICE = 1_000_000
@@ -168,19 +168,23 @@ def pagerank(
                 .agg(F.sum(F.col("share") * F.col("weight")).alias("gain"))
             )
             gain = F.coalesce("gain", F.lit(0.0)) + dangling * F.col("jump")
-            ranks = settle(
+            last, ranks = ranks, settle(
                 ranks.withColumnRenamed("score", "before").join(gained, "id", "left").select(
                     "id", "jump", "total", "slices", "before",
                     (F.lit(alpha) * gain + F.lit(1.0 - alpha) * F.col("jump")).alias("score"),
                 )
             )
+            discard(last)
+            kept = ranks
             if tol is not None:
                 moved = ranks.agg(F.sum(F.abs(F.col("score") - F.col("before")))).first()[0]
                 if moved < count * tol:
                     break
             ranks = ranks.drop("before")
+            ranks._settled_at = kept._settled_at
     finally:
         held.unpersist()
+        discard(edges, out, nodes)
     return ranks.select("id", "score")
 
 

@@ -283,11 +283,11 @@ def _(t):
     with b as (select number, cast(floor((number - 15993000) / 1000) as bigint) * 1000 + 15993000 as s,
       (select max(number) from {blocks}) as top from {blocks})
     select number, lpad(cast(s as string), 10, '0') as start_block,
-      lpad(cast(least(s + 999, 15999999) as string), 10, '0') as end_block from b
-    where number <= 15999999""")
+      lpad(cast(least(s + 999, top) as string), 10, '0') as end_block from b""")
 def _(t):
-    inside = t.blocks.select("number").where("number <= 15999999")
-    return tables.assign_partitions(inside, "number", batch=1000, first=15993000, last=15999999)
+    numbers = t.blocks.select("number")
+    last = numbers.agg(F.max("number")).first()[0]
+    return tables.assign_partitions(numbers, "number", batch=1000, first=15993000, last=last)
 
 
 @query("s26_assign_days", """
@@ -889,21 +889,25 @@ def _(t):
 
 
 @query("f03_hex_amounts", """
-    select transaction_hash, cast(cents * 100000000000 as string) as exact,
-      cast(cents * 100000000000 as double) as approx, cast(cents * 100000000000 as string) as digits
-    from {log_rows} where line <= 3""")
+    select transaction_hash, line,
+      case when line not in (4, 5) then cast(cents * 100000000000 as string) end as exact,
+      case when line not in (4, 5) then cast(cents * 100000000000 as double) end as approx,
+      case when line not in (4, 5) then cast(cents * 100000000000 as string) end as digits
+    from {log_rows}""")
 def _(t):
-    found = t.log_rows.where("line <= 3")
-    return found.select("transaction_hash", hexes.hex_dec(F.col("data")).cast("string").alias("exact"),
-                        hexes.hex_dbl(F.col("data")).alias("approx"), hexes.hex_text("data").alias("digits"))
+    # Lines 4 and 5 hold three words and none: no number in either.
+    raw = F.col("data")
+    return t.log_rows.select(
+        "transaction_hash", "line", hexes.hex_dec(raw).cast("string").alias("exact"),
+        hexes.hex_dbl(raw).alias("approx"), hexes.hex_text("data").alias("digits"))
 
 
 @query("f04_word_address", """
-    with p as (select transaction_hash, split(topics_text, ',') as x from {log_rows} where line in (1, 2, 3, 5, 7))
-    select transaction_hash, concat('0x', right(lower(x[2]), 40)) as sender,
-      concat('0x', right(lower(x[3]), 40)) as receiver from p""")
+    with p as (select transaction_hash, line, split(topics_text, ',') as x from {log_rows})
+    select transaction_hash, case when line <> 4 then concat('0x', right(lower(x[2]), 40)) end as sender,
+      case when line not in (4, 6) then concat('0x', right(lower(x[3]), 40)) end as receiver from p""")
 def _(t):
-    found = t.log_rows.where("line in (1, 2, 3, 5, 7)").withColumn("topics", F.split("topics_text", ","))
+    found = t.log_rows.withColumn("topics", F.split("topics_text", ","))
     return found.select("transaction_hash", hexes.word_address(hexes.item(F.col("topics"), 2)).alias("sender"),
                         hexes.word_address(hexes.item(F.col("topics"), 3)).alias("receiver"))
 

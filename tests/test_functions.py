@@ -27,6 +27,8 @@ def test_hex_double_and_text_up_to_256_bits(spark):
     values = [0, 1, 2**53 + 1, 10**30, 2**200 + 12345, 2**256 - 1000]
     texts = ["0x" + format(v, "064x") for v in values]
     assert column(spark, hexes.hex_text, texts) == [str(v) for v in values]
+    odd = ["0x1_0", "-0x5", "1f", " 0x10 ", "0x" + "1" * 70, "0x", "", None]
+    assert column(spark, hexes.hex_text, odd) == [None] * len(odd)
     for got, want in zip(column(spark, hexes.hex_dbl, texts), values):
         assert abs(got - float(want)) <= 1e-14 * float(want)
 
