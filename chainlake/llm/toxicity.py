@@ -10,6 +10,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chainlake.session import discard, settle, small
+
 # Second-person words of some languages.
 SECOND_PERSON = {"you", "your", "yours", "yourself", "u", "ur", "du", "dich", "dir", "dein", "deine", "tu", "toi",
                  "te", "ton", "vous", "votre", "usted", "ti", "tus"}
@@ -148,9 +150,19 @@ def learn_lexicon(labelled: DataFrame, least_docs: int = 4, least_odds: float =
     return Lexicon({r.unit.encode(): r.odds for r in rows})
 
 
-def train(labelled: DataFrame, sample_rows: int = 30_000, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic") -> Scorer:
-    """Lexicon, trees and calibration from up to about `sample_rows` labelled rows, drawn by hash.
+def draw(labels: DataFrame, sample_rows: int = 30_000, id_col: str = "doc_id",
+         label_col: str = "toxic") -> DataFrame:
+    """Up to about `sample_rows` labelled ids, drawn by hash; one row per id, toxic if any of its rows is."""
+    known = labels.where(F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.max(label_col).alias(label_col))
+    share = max(1, known.count() // sample_rows)
+    return known.where(F.pmod(F.xxhash64(id_col), F.lit(share)) == 0)
+
+
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 30_000, id_col: str = "doc_id",
+          text_col: str = "text", label_col: str = "toxic") -> Scorer:
+    """Lexicon, trees and calibration from up to about `sample_rows` labelled ids, drawn by hash.
+
+    The ids drawn go to every task, so no text is moved to find its label.
 
     Each learns from rows of its own (half, three tenths, two tenths), so that none trusts what an
     earlier one knows by heart. Rows without label teach nothing.
@@ -159,12 +171,11 @@ def train(labelled: DataFrame, sample_rows: int = 30_000, id_col: str = "doc_id"
     from pyspark.ml.functions import vector_to_array
     from pyspark.ml.regression import IsotonicRegression
 
-    rows = labelled.where(F.col(label_col).isin(0, 1)).select(
-        F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("toxic"),
-        F.xxhash64(F.col(id_col)).alias("draw"))
-    share = max(1, rows.count() // sample_rows)
-    rows = rows.where(F.pmod("draw", F.lit(share)) == 0).withColumn(
-        "part", F.pmod(F.xxhash64("draw"), F.lit(10)))
+    drawn = draw(labels, sample_rows, id_col, label_col).select(
+        F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("toxic"),
+        F.pmod(F.xxhash64(F.xxhash64(id_col)), F.lit(10)).alias("part"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = settle(texts.join(small(drawn), "doc_id").drop("doc_id"))
     lexicon = learn_lexicon(rows.where("part < 5"))
     ready = with_features(rows.where("part >= 5"), lexicon, ["toxic", "part"]) \
         .withColumn("label", F.col("toxic").cast("double")).persist()
@@ -179,6 +190,7 @@ def train(labelled: DataFrame, sample_rows: int = 30_000, id_col: str = "doc_id"
         if min(kinds.get(0.0, 0), kinds.get(1.0, 0)) >= 20:
             isotonic = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="even").fit(raw)
     ready.unpersist()
+    discard(rows)
     return Scorer(lexicon, trees, isotonic, seen.base or 0.0)
 
 

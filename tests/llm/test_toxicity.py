@@ -47,8 +47,10 @@ def test_held_out(spark):
 
 @pytest.mark.parametrize("labels", [[], [1], [0, 0, 1, 1, 0]])
 def test_few_labels(spark, labels):
-    rows = [(i, f"text number {i}", y, "s") for i, y in enumerate(labels)]
-    scorer = train(spark.createDataFrame(rows, "doc_id long, text string, toxic int, score string"))
+    rows = [(i, f"text number {i}", "s") for i in range(len(labels))]
+    known = [(i, y) for i, y in enumerate(labels)] + [(0, 0), (99, 1), (None, 1), (1, None)]
+    scorer = train(spark.createDataFrame(rows, "doc_id long, text string, toxic string"),
+                   spark.createDataFrame(known if labels else [], "doc_id long, toxic int"))
     docs = documents(spark, ODD, ids=[None, *range(len(ODD) - 1)]).withColumnRenamed("lang", "features")
     got = score(docs, scorer).collect()
     assert len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
