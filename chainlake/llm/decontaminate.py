@@ -104,30 +104,41 @@ class ItemIndex:
         # Back to a diagonal: bands are counted from -(1 << 30).
         return which, (key & ((1 << 40) - 1)) * step - (1 << 30)
 
-    def align(self, number: int, codes: np.ndarray, diagonal: np.ndarray):
-        """(edits, start, end) of the best place of an item for each band that starts at `diagonal`.
+    def align(self, number: np.ndarray, codes: np.ndarray, diagonal: np.ndarray):
+        """(edits, start, end) of the best place of each item in its band, all bands at once.
 
-        A match's whole grams lie on k + 1 neighbouring diagonals and the rest strays at most k from
-        them, so only a band of 4 k + 3 diagonals is filled. The start rides in the low bits.
+        A match's whole grams lie on k + 1 neighbouring diagonals from `diagonal` on and the rest strays
+        at most k from them, so only a band of 4 k + 3 diagonals is filled (the widest of the batch).
+        Longer items stand first, so that those still at work are a prefix. The start rides in the
+        low bits.
         """
-        item, k = self.codes[number], int(self.budget[number])
-        low = diagonal - k
-        width = np.arange(4 * k + 3)
-        step = width * EDIT
-        begin = low[:, None] + width
-        cost = begin - begin.min(initial=0)       # no edits yet, and where it starts
-        base = begin.min(initial=0)
-        n = len(codes)
-        for i, c in enumerate(item):
-            j = begin + i
-            inside = (j >= 0) & (j < n)
-            same = inside & (codes[np.clip(j, 0, n - 1)] == c)
-            best = cost + np.where(same, 0, EDIT)                      # take or replace
-            best[:, :-1] = np.minimum(best[:, :-1], cost[:, 1:] + EDIT)  # item's letter missing
-            cost = np.minimum.accumulate(best - step, axis=1) + step   # text's letter added
-        end = cost.argmin(axis=1)
-        found = cost[np.arange(len(low)), end]
-        return found >> 32, (found & (EDIT - 1)) + base, low + end + len(item)
+        size = np.array([len(self.codes[i]) for i in number])
+        order = np.argsort(-size, kind="stable")
+        number, size, low = number[order], size[order], (diagonal - self.budget[number])[order]
+        longest, width = int(size[0]), 4 * int(self.budget[number].max()) + 3
+        letters = np.zeros((len(number), longest), np.uint32)
+        for row, i in enumerate(number):
+            letters[row, :size[row]] = self.codes[i]
+        # The text under each band; signs beyond its ends equal no letter.
+        place = low[:, None] + np.arange(longest + width)
+        under = np.where((place >= 0) & (place < len(codes)), codes[np.clip(place, 0, len(codes) - 1)], np.uint32(0))
+        step = np.arange(width) * EDIT
+        base = int(low.min())
+        cost = low[:, None] + np.arange(width) - base      # no edits yet, and where it starts
+        active = np.searchsorted(-size, -np.arange(longest), "left")
+        for i in range(longest):
+            n = active[i]
+            now = cost[:n]
+            best = now + EDIT * (under[:n, i:i + width] != letters[:n, i:i + 1])  # take or replace
+            np.minimum(best[:, :-1], now[:, 1:] + EDIT, out=best[:, :-1])          # item's letter missing
+            best -= step
+            np.minimum.accumulate(best, axis=1, out=best)                           # text's letter added
+            best += step
+            cost[:n] = best
+        at = cost.argmin(axis=1)
+        found = cost[np.arange(len(low)), at]
+        back = np.argsort(order)
+        return (found >> 32)[back], ((found & (EDIT - 1)) + base)[back], (low + at + size)[back]
 
     def search(self, texts: list[str]) -> Iterator[tuple]:
         """(text number, item id, edits, first character, end) of every match in some texts."""
@@ -145,12 +156,11 @@ class ItemIndex:
         codes = np.concatenate(parts)
         which, diagonal = self.regions(codes)
         found = []
-        for number in np.unique(which):
-            starts = diagonal[which == number]
-            for some in np.array_split(starts, -(-len(starts) // 512)):
-                edits, start, end = self.align(int(number), codes, some)
-                good = edits <= self.budget[number]
-                found += zip(edits[good].tolist(), start[good].tolist(), end[good].tolist(), [int(number)] * good.sum())
+        for at in range(0, len(which), 1000):
+            number, some = which[at:at + 1000], diagonal[at:at + 1000]
+            edits, start, end = self.align(number, codes, some)
+            good = edits <= self.budget[number]
+            found += zip(edits[good].tolist(), start[good].tolist(), end[good].tolist(), number[good].tolist())
         taken: dict[int, list] = {}
         for edits, start, end, number in sorted(found):
             # Bands overlap: of matches of an item that overlap, the best stands.
