@@ -11,12 +11,12 @@ from __future__ import annotations
 import json
 import os
 import statistics
-import tempfile
 import time
+import uuid
 
 from chainlake.registry import QUERIES
 from chainlake.registry.adapters import land
-from chainlake.session import local_session
+from chainlake.session import local_session, shared_dir
 
 HEADLINE = [
     "v01_pre_tx", "v03_pre_tx_daily", "v04_tx_volume", "v05_uaw", "v06_missing_tokens",
@@ -40,7 +40,7 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     spark = local_session(cpus, partitions=int(cpus) if cpus.isdigit() else 8)
     start = time.perf_counter()
-    land(spark, folder, tempfile.mkdtemp(prefix="chainlake-bench-"), VIEWS)
+    land(spark, folder, f"{shared_dir(spark)}/bench-{uuid.uuid4().hex}", VIEWS)
     landing = round(time.perf_counter() - start, 3)
     times: dict[str, float] = {}
     for name in names:

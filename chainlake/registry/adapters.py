@@ -14,6 +14,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from chainlake.operators.derive import TRANSFER_TOPIC
+from chainlake.session import path_exists
 
 EPOCH = 1668729600  # 2022-11-18 00:00:00 UTC
 BLOCK_TIME = 3600
@@ -307,7 +308,7 @@ class Tables:
             raise AttributeError(name)
         if name not in self._made:
             stored = LANDED.get(self._folder)
-            if stored and name in VIEWS and os.path.isdir(f"{stored}/{name}"):
+            if stored and name in VIEWS and path_exists(self.spark, f"{stored}/{name}"):
                 self._made[name] = self._read(f"{stored}/{name}")
             elif name in VIEWS:
                 text = VIEWS[name]
