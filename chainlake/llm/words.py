@@ -76,7 +76,7 @@ class WordEncoder:
     one by one; the library takes all others whole.
     """
 
-    def __init__(self, path: str, proven: dict[str, int], limit: int = 400_000, longest: int = 64):
+    def __init__(self, path: str, proven: dict[str, int], limit: int = 700_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tiktoken import Encoding
         from tokenizers import Tokenizer
@@ -128,12 +128,12 @@ class WordEncoder:
 
     def learn(self, units: set[str]) -> None:
         """Merge the units that are neither proven nor seen."""
-        new = units.difference(self.memo)
+        new = {u for u in units.difference(self.memo) if len(u) <= self.longest}
         if not new:
             return
         if len(self.memo) + len(new) > self.limit:
             self.memo = dict(self.base)
-            new = units.difference(self.memo)
+            new = {u for u in units.difference(self.memo) if len(u) <= self.longest}
         good = [u for u in new if u and not u[0].isspace()]
         self.memo.update(dict.fromkeys(new.difference(good)))
         self.memo.update(zip(good, self.encode_units(good, " ")))
@@ -162,7 +162,7 @@ class WordEncoder:
         for units in split:
             if units:
                 seen.update(units[1:])
-        self.learn({u for u in seen if len(u) <= self.longest})
+        self.learn(seen)
         heads = self.encode_units([u[0] if u else "" for u in split], "")
         done = iter([self.special[s] if is_mark else self._span(s, u, h)
                      for (s, is_mark), u, h in zip(spans, split, heads)])
@@ -175,7 +175,7 @@ class WordEncoder:
         except (KeyError, TypeError):
             # Long units, or white space after a space: cut only where it is safe.
             units = CUT.split(text)
-            self.learn({u for u in units[1:] if len(u) <= self.longest})
+            self.learn(set(units[1:]))
             out = self.merged([units[0]])
             for u in units[1:]:
                 code = self.memo.get(u)
