@@ -136,11 +136,11 @@ URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
 
 @query()
 def op3_url_filter(read):
-    """Every page's url judged by the listed rules, then by mined rules."""
-    from chainlake.llm.url_filter import judge, mine
+    """Every page's url judged by the listed rules, then by seed words, then by mined rules."""
+    from chainlake.llm.url_filter import SEED_WORDS, judge, mine
 
     pages = read("pages").select("page_id", "url")
-    return judge(pages, URL_RULES, mine(pages, URL_RULES))
+    return judge(pages, URL_RULES, mine(pages, URL_RULES, open_only=True), seeds=SEED_WORDS)
 
 
 def known_words() -> list[str]:

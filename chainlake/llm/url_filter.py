@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import json
+import math
+import zlib
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chainlake.session import settle, small
+
 # Words in a host or path that mark a page as unwanted where no list decides.
 SEED_WORDS = ["casino", "pills", "porn", "spam", "viagra", "warez", "xxx"]
 VERDICTS = ["allow", "block"]
@@ -61,37 +65,64 @@ def tokens_of(host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(*tagged, site))
 
 
-def mine(urls: DataFrame, rules: list[tuple[str, str, str]], sample_rows: int = 200_000,
-         least_support: float = 0.002, least_rows: int = 20, least_confidence: float = 0.9,
-         longest: int = 3) -> list[tuple]:
+def _combinations(tokens: Column, n: int) -> Column:
+    """Every combination of `n` tokens of a sorted array, as arrays."""
+    if n == 1:
+        return F.transform(tokens, lambda t: F.array(t))
+    rest = lambda i: F.slice(tokens, i + 2, F.size(tokens))
+    return F.flatten(F.transform(tokens, lambda t, i: F.transform(
+        _combinations(rest(i), n - 1), lambda c: F.concat(F.array(t), c))))
+
+
+def seeded(tokens: Column, seeds: list[str]) -> Column:
+    """Whether a seed word is among the words of a url."""
+    return F.arrays_overlap(tokens, F.array(*[F.lit(f"word:{w}") for w in seeds]).cast("array<string>"))
+
+
+def mine(urls: DataFrame, rules: list[tuple[str, str, str]], least_support: float = 0.0, least_rows: int = 20,
+         least_confidence: float = 0.9, longest: int = 3, open_only: bool = False) -> list[tuple]:
     """Rules (tokens, verdict) in order of confidence, support and length, from labelled urls.
 
-    Labels are the verdicts of the listed rules and, where none decides, block for seed words. They are
-    items among the url's tokens; urls without label count too, so a confidence is the labelled
-    share of all urls with those tokens. Spark's FP-growth finds the combinations in at most about
-    `sample_rows` urls, drawn by hash, that hold for `least_support` of them and for `least_rows`. A rule that a shorter or surer part of it makes needless goes.
-    Fewer than 1 / least_support times the tokens of a url can pass, so the rules are a bounded list.
+    Labels are the verdicts of the listed rules and, where none decides, block for seed words; urls
+    without label count too, so a confidence is the labelled share of all urls with those tokens.
+    A rule holds for `least_rows` labelled urls, whatever the number of others (`least_support`, a share of
+    all urls, is for callers who want fewer). All urls count: equal token sets become one row with
+    their number, and combinations are counted size by size up to `longest`, without tokens that cannot be
+    part of a longer rule. A rule that a shorter or surer part of it makes needless goes.
+    `open_only` leaves out rules that fit listed urls alone, which change no verdict of this table.
     """
-    from pyspark.ml.fpm import FPGrowth
-
-    total = urls.count()
-    share = max(1, total // sample_rows)
-    support = min(1.0, max(least_support, least_rows * share / max(1, total)))
-    drawn = urls.where(F.pmod(F.xxhash64("url"), F.lit(share)) == 0) if share > 1 else urls
     host, path = host_of(F.col("url")), path_of(F.col("url"))
-    found = drawn.where("url is not null").select(host.alias("host"), path.alias("path"))
-    tokens = tokens_of(F.col("host"), F.col("path"))
-    seeded = F.arrays_overlap(tokens, F.array(*[F.lit(f"word:{w}") for w in SEED_WORDS]))
-    label = F.coalesce(listed(F.col("host"), F.col("path"), rules)["verdict"], F.when(seeded, "block"))
-    items = F.when(label.isNull(), tokens).otherwise(F.array_append(tokens, F.concat(F.lit("verdict:"), label)))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=least_confidence) \
-        .fit(found.select(items.alias("items")))
-    verdict = F.element_at("consequent", 1)
-    pairs = model.associationRules.where(
-        F.startswith(verdict, F.lit("verdict:")) & (F.size("antecedent") <= longest)
-        & ~F.exists("antecedent", lambda t: F.startswith(t, F.lit("verdict:"))))
-    rows = pairs.select(F.array_sort("antecedent").alias("a"), F.substring(verdict, 9, 9).alias("v"),
-                        "confidence", "support").collect()
+    split = urls.where("url is not null").select(host.alias("host"), path.alias("path"))
+    best = listed(F.col("host"), F.col("path"), rules)["verdict"]
+    sets = split.select(F.array_sort(tokens_of(F.col("host"), F.col("path"))).alias("tokens"), best.alias("best")) \
+        .select("tokens", F.coalesce("best", F.when(seeded(F.col("tokens"), SEED_WORDS), "block")).alias("label"),
+                F.col("best").isNull().alias("open")) \
+        .groupBy("tokens", "label", "open").agg(F.count("*").alias("n"))
+    sets = settle(sets)
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    floor = max(1, least_rows, math.ceil(least_support * total))
+    rows: list = []
+    for size in range(1, longest + 1):
+        each = [F.sum(F.when(F.col("label") == v, F.col("n"))).alias(v) for v in VERDICTS]
+        counted = sets.select(F.explode(_combinations(F.col("tokens"), size)).alias("a"), "label", "open", "n") \
+            .groupBy("a").agg(F.sum("n").alias("n"), F.max("open").alias("open"), *each)
+        counted = counted.where(F.greatest(*[F.coalesce(v, F.lit(0)) for v in VERDICTS]) >= floor)
+        if open_only:
+            counted = counted.where("open")
+        counted = settle(counted)
+        pairs = F.array(*[F.struct(F.lit(v).alias("v"), F.col(v).alias("support")) for v in VERDICTS])
+        rows += counted.select("a", "n", F.explode(pairs).alias("p")).select(
+            "a", "p.v", "p.support", (F.col("p.support") / F.col("n")).alias("confidence")) \
+            .where((F.col("support") >= floor) & (F.col("confidence") >= least_confidence)).collect()
+        if size == longest:
+            break
+        # What is sure without exception makes all that holds it needless; the rest may grow.
+        grows = counted.where(F.greatest(*[F.coalesce(v, F.lit(0)) for v in VERDICTS]) < F.col("n"))
+        grows = small(settle(grows.select(F.explode("a").alias("token")).distinct()))
+        numbered = settle(sets.withColumn("k", F.monotonically_increasing_id()))
+        left = numbered.select("k", "label", "open", "n", F.explode("tokens").alias("token")).join(grows, "token") \
+            .groupBy("k", "label", "open", "n").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+        sets = settle(left.where(F.size("tokens") > size).groupBy("tokens", "label", "open").agg(F.sum("n").alias("n")))
     rows.sort(key=lambda r: (-r.confidence, len(r.a), -r.support, r.a))
     kept: list[tuple] = []
     by_token: dict[str, list[set]] = {}
@@ -116,8 +147,14 @@ def matched(tokens: Column, mined: list[tuple]) -> Column:
     for i, (parts, _) in enumerate(mined):
         for t in parts:
             index.setdefault(t, []).append(i)
-    table = _table(index, "array<int>")
-    lists = F.filter(F.transform(tokens, lambda t: F.element_at(table, t)), lambda x: x.isNotNull())
+    # A map is searched key by key, so tokens lie in an array by checksum.
+    slots: list[list] = [[] for _ in index]
+    for t, which in index.items():
+        slots[zlib.crc32(t.encode()) % len(slots)].append({"t": t, "r": which})
+    table = F.from_json(F.lit(json.dumps(slots)), "array<array<struct<t:string,r:array<int>>>>")
+    lists = F.transform(tokens, lambda t: F.flatten(F.transform(
+        F.filter(F.get(table, (F.crc32(F.encode(t, "UTF-8")) % len(slots)).cast("int")), lambda e: e["t"] == t),
+        lambda e: e["r"])))
     needs = F.from_json(F.lit(json.dumps([len(p) for p, _ in mined])), "array<int>")
     verdicts = F.from_json(F.lit(json.dumps([v for _, v in mined])), "array<string>")
     hits = F.flatten(lists)
@@ -126,18 +163,20 @@ def matched(tokens: Column, mined: list[tuple]) -> Column:
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], mined: list[tuple],
-          id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+          id_col: str = "page_id", url_col: str = "url", seeds: list[str] | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict, basis of every url; one projection, no shuffle.
 
-    The longest listed rule decides; else the first mined rule that matches; else allow. `basis` says
-    which (list, mined, default). A null url, or one without ://, has empty host and path. Rows come out
+    The longest listed rule decides; else block if one of `seeds` is among the words; else the first mined
+    rule that matches; else allow. `basis` says which (list, seed, mined, default). A null url, or one without ://, has empty host and path. Rows come out
     as often as they come in; extra columns are ignored.
     """
     picked = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
     split = picked.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     host, path = F.col("host"), F.col("path")
     both = split.select("page_id", "host", "path", listed(host, path, rules).alias("best"),
+                        seeded(tokens_of(host, path), seeds or []).alias("seeded"),
                         matched(tokens_of(host, path), mined).alias("learned"))
-    basis = F.when(F.col("best").isNotNull(), "list").when(F.col("learned").isNotNull(), "mined").otherwise("default")
+    basis = F.when(F.col("best").isNotNull(), "list").when(F.col("seeded"), "seed") \
+        .when(F.col("learned").isNotNull(), "mined").otherwise("default")
     return both.select("page_id", "host", "path", F.col("best.rule").alias("rule"),
-                       F.coalesce("best.verdict", "learned", F.lit("allow")).alias("verdict"), basis.alias("basis"))
+                       F.coalesce("best.verdict", F.when(F.col("seeded"), "block"), "learned", F.lit("allow")).alias("verdict"), basis.alias("basis"))

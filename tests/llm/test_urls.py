@@ -84,3 +84,26 @@ def test_mined_rules_by_hand(spark, least_rows):
 def test_query_has_no_python(spark):
     plan = QUERIES["op3_url_filter"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "html" not in plan and "Exchange" not in plan
+
+
+def test_rules_do_not_depend_on_table_size(spark):
+    urls = [f"http://cheap-pills.biz/buy/{i}" for i in range(25)]
+    others = spark.range(20_000).selectExpr("id + 25 as page_id", "concat('http://site', id % 997, '.info/') as url")
+    few = mine(table(spark, urls), URL_RULES)
+    many = table(spark, urls).select("page_id", "url").unionByName(others)
+    assert (["word:pills"], "block") in few
+    assert sorted(mine(many, URL_RULES)) == sorted(few)
+
+
+def test_seed_words_block_at_every_size(spark):
+    rows = QUERIES["op3_url_filter"](spark, FOLDER).collect()
+    marked = [r for r in rows if listed(r.host, r.path)[1] is None
+              and set(re.split(r"[^a-z]+", f"{r.host}/{r.path}".lower())) & set(SEED_WORDS)]
+    assert marked and all((r.verdict, r.basis) == ("block", "seed") for r in marked)
+
+
+def test_rules_of_listed_urls_alone_change_no_verdict(spark):
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet").select("page_id", "url")
+    every, some = mine(pages, URL_RULES), mine(pages, URL_RULES, open_only=True)
+    assert set(map(str, some)) <= set(map(str, every))
+    assert sorted(judge(pages, URL_RULES, every).collect()) == sorted(judge(pages, URL_RULES, some).collect())
