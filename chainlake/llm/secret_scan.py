@@ -19,16 +19,31 @@ FEATURES = ["length", "switches", "digits", "capitals", "hexadecimal", "variety"
             "in_path", "mail", "issued", "named", "assigned", "harmless", "quoted"]
 
 
+def places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """row, doc_id, finding, start (from 0), left: every match of every text; `row` numbers the texts."""
+    text, no_ints = F.col("text"), F.lit([]).cast("array<int>")
+    # The pieces between the matches tell where each match stands.
+    split = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")) \
+        .withColumn("row", F.monotonically_increasing_id()) \
+        .select("row", "doc_id", "text", F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("found"),
+                F.transform(F.split(text, CANDIDATE, -1), F.length).alias("gaps")) \
+        .where(F.size("found") > 0)
+    steps = F.zip_with(F.slice("gaps", 1, F.size("found")), "found",
+                       lambda g, f: F.struct(g.alias("gap"), F.length(f).alias("n")))
+    state = F.struct(F.lit(0).alias("at"), no_ints.alias("starts"))
+    starts = F.aggregate(steps, state, lambda a, s: F.struct(
+        (a["at"] + s["gap"] + s["n"]).alias("at"), F.array_append(a["starts"], a["at"] + s["gap"]).alias("starts")))
+    each = F.zip_with("found", starts["starts"], lambda f, at: F.struct(
+        f.alias("finding"), at.alias("start"),
+        F.substring(text, F.greatest(at - LEFT, F.lit(0)) + 1, F.least(at, F.lit(LEFT))).alias("left")))
+    return split.select("row", "doc_id", F.inline(each))
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, finding, start (from 0), left: every distinct candidate of a text where it first stands."""
-    text = F.col("text")
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)))
-    each = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")) \
-        .select("doc_id", "text", F.explode(found).alias("finding")) \
-        .select("doc_id", "text", "finding", F.expr("locate(finding, text) - 1").alias("start"))
-    begin = F.greatest(F.col("start") - LEFT, F.lit(0))
-    return each.select("doc_id", "finding", "start",
-                       F.substring(text, begin + 1, F.col("start") - begin).alias("left"))
+    first = F.min(F.struct("start", "left"))
+    return places(docs, id_col, text_col).groupBy("row", "doc_id", "finding").agg(first.alias("first")) \
+        .select("doc_id", "finding", "first.start", "first.left")
 
 
 def dictionary(spark: SparkSession, words: list[str]) -> DataFrame:
@@ -116,25 +131,26 @@ def train(labelled: DataFrame, words: DataFrame, trees: int = 40, depth: int = 7
 
 
 def judge(found: DataFrame, model, words: DataFrame, least: float = 0.5) -> DataFrame:
-    """doc_id, finding, start, length, score, is_secret of every candidate."""
+    """doc_id, finding, start, length, score, is_secret of every candidate: its first place, its highest score."""
     from pyspark.ml.functions import vector_to_array
 
     scored = model.transform(featured(found, words))
-    score = vector_to_array("probability")[1]
-    return scored.select("doc_id", "finding", "start", F.length("finding").alias("length"), score.alias("score"),
-                         (score >= least).alias("is_secret"))
+    each = scored.select("row", "doc_id", "finding", "start", vector_to_array("probability")[1].alias("score"))
+    best = each.groupBy("row", "doc_id", "finding").agg(F.min("start").alias("start"), F.max("score").alias("score"))
+    return best.select("doc_id", "finding", "start", F.length("finding").alias("length"), "score",
+                       (F.col("score") >= least).alias("is_secret"))
 
 
 def scan(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every secret candidate of every whole text, with the forest's score.
 
-    A finding is a distinct candidate string of a row; it is judged by what stands before its first
-    place. Null and empty texts have none. Repeated rows and null ids give findings of their own;
+    A finding is a distinct candidate string of a row; each of its places is judged by what stands before
+    it, and one place that looks like a secret makes it one. Null and empty texts have none. Repeated rows and null ids give findings of their own;
     extra columns are ignored. `words` is the dictionary, a bounded list.
     """
     spark = docs.sparkSession
     table = dictionary(spark, words)
-    found = settle(candidates(docs, id_col, text_col))
+    found = settle(places(docs, id_col, text_col))
     return judge(found, train(labelled_findings(spark, found), table), table)
 
 

@@ -5,7 +5,7 @@ import pytest
 from tests.llm.helpers import ODD, documents
 
 from chainlake.llm.queries import QUERIES, known_words
-from chainlake.llm.secret_scan import CANDIDATE, candidates, redact, scan
+from chainlake.llm.secret_scan import CANDIDATE, candidates, places, redact, scan
 
 HEX = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(20)]
 
@@ -69,3 +69,19 @@ def test_given_secrets_are_found(spark):
     docs = {d.doc_id: d.text for d in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     found = {(r.doc_id, r.finding) for r in QUERIES["op8_secret_scan"](spark, folder).collect() if r.is_secret}
     assert found == {(i, m) for i, t in docs.items() for m in re.findall(r'(?i)token = "([0-9a-f]{40})"', t or "")}
+
+
+def test_every_place_is_judged(spark):
+    texts = [f'See commit {HEX[0]} first. Then token = "{HEX[0]}" came.', f"It came with commit {HEX[1]}, sha1: {HEX[1]} again.",
+             f"x{HEX[2]} then token = \"{HEX[2]}\"", None, "none here"]
+    docs = documents(spark, texts)
+    want = sorted((i, m.group(), m.start(), t[max(0, m.start() - 48):m.start()])
+                  for i, t in enumerate(texts) for m in re.finditer(CANDIDATE, t or ""))
+    assert sorted(r[1:] for r in places(docs).collect()) == want and len(want) == 6
+    found = {(r.doc_id, r.finding): r for r in scan(docs, known_words()).collect()}
+    assert len(found) == 4
+    assert found[0, HEX[0]].is_secret and found[0, HEX[0]].start == texts[0].find(HEX[0])
+    assert not found[1, HEX[1]].is_secret
+    assert found[2, HEX[2]].is_secret and found[2, HEX[2]].start == texts[2].rfind(HEX[2])
+    rows = {r.doc_id: r.text for r in redact(docs, scan(docs, known_words())).collect()}
+    assert HEX[0] not in rows[0] and rows[1] == texts[1]
