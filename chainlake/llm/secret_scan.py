@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from chainlake.session import settle
 
 # What may be a secret, and formats of well-known issuers.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=.@~-])(?=[A-Za-z+/_=.@~-]*[0-9])[A-Za-z0-9+/_=.@~-]{16,}"
+# A = is padding at the end or stands between a name and its value; a full stop at the end is the sentence's.
+CANDIDATE = (r"(?<![A-Za-z0-9+/_.@~-])(?=[A-Za-z+/_.@~-]*[0-9])[A-Za-z0-9+/_.@~-]{15,}[A-Za-z0-9+/_@~-]"
+             r"(?:={1,2}(?![A-Za-z0-9+/_@~=-]))?")
 ISSUED = (r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}"
           r"|AIza[A-Za-z0-9_-]{35}|glpat-[A-Za-z0-9_-]{20}|eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)$")
 NAMED = r"(?i)(token|secret|passw(or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credential)"

@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import re
 
@@ -85,3 +86,18 @@ def test_every_place_is_judged(spark):
     assert found[2, HEX[2]].is_secret and found[2, HEX[2]].start == texts[2].rfind(HEX[2])
     rows = {r.doc_id: r.text for r in redact(docs, scan(docs, known_words())).collect()}
     assert HEX[0] not in rows[0] and rows[1] == texts[1]
+
+
+def test_names_given_values_without_space(spark):
+    key, b64 = f"AKIA{HEX[3][:16].upper()}", base64.b64encode(bytes.fromhex(HEX[4])).decode()
+    assert b64.endswith("=")
+    cases = [(f"export AWS_ACCESS_KEY_ID={key}", key, True), (f"password={b64}\nuser=joe", b64, True),
+             (f"GET /v1/items?access_token={HEX[5]}&page=2", HEX[5], True), (f"The key is {key}.", key, True),
+             (f"API_KEY={HEX[6]}.", HEX[6], True), (f"commit={HEX[7]}", HEX[7], False)]
+    docs = documents(spark, [t for t, _, _ in cases])
+    got = {r.doc_id: r for r in candidates(docs).collect()}
+    assert [(got[i].finding, got[i].start) for i in range(len(cases))] == [(f, t.find(f)) for t, f, _ in cases]
+    found = scan(docs, known_words())
+    assert {(r.doc_id, r.finding, r.is_secret) for r in found.collect()} == {(i, f, y) for i, (_, f, y) in enumerate(cases)}
+    rows = {r.doc_id: r.text for r in redact(docs, found).collect()}
+    assert all(rows[i] == (t.replace(f, "[SECRET]") if y else t) for i, (t, f, y) in enumerate(cases))
