@@ -107,3 +107,11 @@ def test_rules_of_listed_urls_alone_change_no_verdict(spark):
     every, some = mine(pages, URL_RULES), mine(pages, URL_RULES, open_only=True)
     assert set(map(str, some)) <= set(map(str, every))
     assert sorted(judge(pages, URL_RULES, every).collect()) == sorted(judge(pages, URL_RULES, some).collect())
+
+
+def test_hot_url_neither_fills_nor_leaves_the_count(spark):
+    urls = [f"http://cheap-pills.biz/buy/{i}" for i in range(25)]
+    few = mine(table(spark, urls), URL_RULES)
+    hot = spark.range(450_000).selectExpr("id + 25 as page_id", "'http://files.info/warez' as url")
+    got = mine(table(spark, urls).select("page_id", "url").unionByName(hot), URL_RULES)
+    assert (["word:warez"], "block") in got and all(rule in got for rule in few)
