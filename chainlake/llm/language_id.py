@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import json
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -85,11 +86,20 @@ class Tree:
         return best, 1 / (1 + np.exp(-np.clip(3 * mean, -30, 30)))
 
 
+def rare_draws(counts: dict[str, int], bound: int) -> dict[str, int]:
+    """Millionths to draw of each language whose proportion of `bound` is under a quarter of an equal part."""
+    least = max(1, bound // (4 * max(1, len(counts))))
+    return {g: min(1_000_000, 1_100_000 * least // n) for g, n in counts.items()
+            if n * bound < least * sum(counts.values())}
+
+
 def train(docs: DataFrame, sample_rows: int = 4000, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang") -> Tree:
     """Separators from up to `sample_rows` labelled rows, drawn by hash of their text and id.
 
-    Rows without language or letters teach nothing. With no labelled row the tree is empty.
+    Languages come in their proportions, but none with less than a quarter of an equal part (or all its
+    rows), so a language is learned however small its share. Rows without language or letters teach
+    nothing. With no labelled row the tree is empty.
     """
     from pyspark.ml.classification import LinearSVC
     from pyspark.ml.functions import array_to_vector
@@ -97,9 +107,14 @@ def train(docs: DataFrame, sample_rows: int = 4000, id_col: str = "doc_id", text
     labelled = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
                            F.xxhash64(id_col, F.col(text_col)).alias("draw")) \
         .where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # Keep about twice the bound by hash before texts are sorted; then exactly the bound.
-    share = max(1, labelled.count() // (2 * sample_rows))
-    drawn = labelled.where(F.pmod("draw", F.lit(share)) == 0).orderBy(F.hash("draw")).limit(sample_rows)
+    counts = {r.lang: r.n for r in labelled.groupBy(F.col("lang").cast("string").alias("lang"))
+              .agg(F.count("*").alias("n")).collect()}
+    # Keep about twice the bound by hash before texts are sorted; then exactly the bound, rare languages first.
+    share = max(1, sum(counts.values()) // (2 * sample_rows))
+    rare = F.from_json(F.lit(json.dumps(rare_draws(counts, sample_rows))), "map<string,int>")
+    least = F.element_at(rare, F.col("lang").cast("string"))
+    drawn = labelled.where(F.coalesce(F.pmod("draw", F.lit(1_000_000)) < least, F.pmod("draw", F.lit(share)) == 0)) \
+        .orderBy(least.isNull(), F.hash("draw")).limit(sample_rows)
     kind = docs.schema[lang_col].dataType.simpleString()
 
     def shape(batches):

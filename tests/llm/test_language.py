@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from tests.llm.helpers import ODD, documents
 
-from chainlake.llm.language_id import family_of, fold, identify, profiles, train
+from chainlake.llm.language_id import family_of, fold, identify, profiles, rare_draws, train
 from chainlake.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
@@ -50,3 +50,13 @@ def test_one_language_or_none(spark):
     assert identify(documents(spark, ["hello", ""]), one).where("lang_pred = 'en'").count() == 1
     none = train(documents(spark, ["hello there"], [None]))
     assert identify(documents(spark, ["hello", None]), none).where("lang_pred = 'und' and score = 0").count() == 2
+
+
+def test_rare_language_is_learned(spark):
+    assert rare_draws({"a": 1, "b": 300, "c": 9700}, 400) == {"a": 1_000_000, "b": 121_000}
+    assert rare_draws({"a": 9, "b": 91}, 400) == {"a": 1_000_000} and rare_draws({}, 10) == {}
+    texts = [f"the house number {i} and the river" for i in range(3000)] + ["la maison et le chat"] * 2
+    tree = train(documents(spark, texts, ["en"] * 3000 + ["fr"] * 2), 40)
+    assert tree.langs == ["en", "fr"]
+    rows = identify(documents(spark, ["la maison et le chat", "the house number 9 and the river"]), tree).collect()
+    assert {r.doc_id: r.lang_pred for r in rows} == {0: "fr", 1: "en"}
