@@ -18,7 +18,7 @@ from chainlake.session import settle, tune
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: documents whose language cannot be told go."""
+    """Operator 4: documents without a letter (`und`) go; an unlearned language stays under a learned one."""
     tune(spark)
     return known_language(docs, train(docs))
 

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from tests.llm.helpers import ODD, documents
 
-from chainlake.llm.language_id import family_of, fold, identify, profiles, rare_draws, train
+from chainlake.llm.language_id import family_of, fold, identify, known_language, profiles, rare_draws, train
 from chainlake.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
@@ -60,3 +60,10 @@ def test_rare_language_is_learned(spark):
     assert tree.langs == ["en", "fr"]
     rows = identify(documents(spark, ["la maison et le chat", "the house number 9 and the river"]), tree).collect()
     assert {r.doc_id: r.lang_pred for r in rows} == {0: "fr", 1: "en"}
+
+
+def test_language_stage_rejects_texts_without_letters_only(spark, given):
+    tree = train(given, 300)
+    docs = documents(spark, ["Mitt hus är rött och båten är blå", "qxzt wvkj pqrr", "123 !!", "", None])
+    assert {r.doc_id for r in known_language(docs, tree).collect()} == {0, 1}
+    assert identify(docs, tree).where("lang_pred <> 'und'").agg({"score": "min"}).first()[0] >= 0.25
