@@ -179,3 +179,17 @@ def op2_decontamination(read):
     from chainlake.llm.decontaminate import leaks
 
     return leaks(read("documents"), read("benchmark"))
+
+
+@query(r"""
+WITH texts AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS sha FROM documents)
+SELECT doc_id, first_value(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION BY sha) AS group_size,
+       row_number() OVER g = 1 AS kept, sha AS text_sha256
+FROM texts WINDOW g AS (PARTITION BY sha ORDER BY doc_id NULLS LAST)
+""")
+def op11_exact_dedup(read):
+    """Documents with equal texts up to white space, and the one of each group that stays."""
+    from chainlake.llm.exact_dedup import mark_duplicates
+
+    return mark_duplicates(read("documents"))
