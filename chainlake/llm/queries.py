@@ -193,3 +193,60 @@ def op11_exact_dedup(read):
     from chainlake.llm.exact_dedup import mark_duplicates
 
     return mark_duplicates(read("documents"))
+
+
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+_FIELD_SQL = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"
+_LEAF_SQL = "sha256({}|| '' ||{}|| '' ||{}|| '' ||{}|| '' ||{})"
+_LEAF, _SHOWN = (_LEAF_SQL.format(*[_FIELD_SQL.format(c) for c in cols])
+                 for cols in (MANIFEST_FIELDS, ["doc_id", "source", "lang", "(n_chars + 1)", "text"]))
+# CRC-32 by its published rule, bit by bit.
+_CRC32_SQL = """xor(list_reduce(list_concat([4294967295], [CAST(ascii(x) AS BIGINT) for x in
+    string_split(CAST(doc_id AS VARCHAR), '')]), lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295)"""
+_PAIRS_SQL = "[sha256(l[2 * i + 1] || coalesce(l[2 * i + 2], '')) for i in range(0, (len(l) + 1) // 2)]"
+_STEP_SQL = """i // 2, proof || coalesce(l[CASE WHEN i % 2 = 0 THEN i + 2 ELSE i END], ''),
+         sha256(CASE WHEN i % 2 = 0 THEN node || coalesce(l[i + 2], '') ELSE l[i] || node END)"""
+
+
+@query(f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, leaf, shown, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM (SELECT doc_id, lang, {_LEAF} AS leaf,
+               CASE WHEN n_chars IS NOT NULL AND {_CRC32_SQL} % 7 = 0 THEN {_SHOWN} ELSE {_LEAF} END AS shown
+        FROM documents)),
+levels AS (
+  SELECT lang, 0 AS h, list(leaf ORDER BY i) AS l FROM leaves GROUP BY lang
+  UNION ALL SELECT lang, h + 1, {_PAIRS_SQL} FROM levels WHERE len(l) > 1),
+subroots AS (
+  SELECT lang, l[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i FROM levels WHERE len(l) = 1),
+crown AS (
+  SELECT 0 AS h, list(subroot ORDER BY i) AS l FROM subroots
+  UNION ALL SELECT h + 1, {_PAIRS_SQL} FROM crown WHERE len(l) > 1),
+walk AS (
+  SELECT doc_id, lang, leaf, 0 AS h, i, '' AS proof, shown AS node FROM leaves
+  UNION ALL
+  SELECT doc_id, w.lang, leaf, w.h + 1, {_STEP_SQL}
+  FROM walk w JOIN levels v ON w.h = v.h AND w.lang IS NOT DISTINCT FROM v.lang WHERE len(l) > 1),
+below AS (
+  SELECT w.doc_id, w.lang, w.leaf, w.proof, w.node, s.subroot, s.i
+  FROM walk w JOIN subroots s ON w.lang IS NOT DISTINCT FROM s.lang
+  JOIN levels v ON w.h = v.h AND w.lang IS NOT DISTINCT FROM v.lang WHERE len(v.l) = 1),
+above AS (
+  SELECT doc_id, leaf, subroot, 0 AS h, i, proof, node FROM below
+  UNION ALL
+  SELECT doc_id, leaf, subroot, w.h + 1, {_STEP_SQL}
+  FROM above w JOIN crown c ON w.h = c.h WHERE len(l) > 1)
+SELECT doc_id, leaf, subroot, c.l[1] AS root, sha256(proof) AS proof_sha256, node AS folded_root,
+       node = c.l[1] AS verified
+FROM above w JOIN crown c ON w.h = c.h WHERE len(c.l) = 1
+""")
+def op12_merkle_manifest(read):
+    """Proof of every document in the tree of its language; every seventh shows a changed length."""
+    from pyspark.sql import functions as F
+
+    from chainlake.llm.merkle import leaf_digest, manifest
+
+    changed = [F.col(c) + 1 if c == "n_chars" else F.col(c) for c in MANIFEST_FIELDS]
+    shown = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, leaf_digest(*changed))
+    return manifest(read("documents"), MANIFEST_FIELDS, shown=shown)
