@@ -8,7 +8,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainlake.llm.words import WordEncoder, whole_tokens
+from chainlake.llm.words import WordEncoder, gathered, whole_tokens
+from chainlake.session import settle
 
 
 class OpenWindows:
@@ -67,26 +68,32 @@ def best_fit(lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return number, offset
 
 
+FULL = 1 << 62  # sequence numbers of windows that are full as they are cut
+
+
 def cut_pieces(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1,
                keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Tokenize every whole text, append `end_id`, cut full windows off; no shuffle.
 
-    One row per piece: doc_id, start, length, ids_crc32, doc_tokens, and with `keep_ids`
+    One row per piece: doc_id, start, length, ids_crc32, doc_tokens, full (the sequence number of a
+    full window, by partition and place in it; null for what remains of a text), and with `keep_ids`
     the ids themselves (array<int>).
     """
     import pyarrow as pa
 
-    table = docs.sparkSession.sparkContext.broadcast(whole_tokens(path))
+    known = docs.sparkSession.sparkContext.broadcast(whole_tokens(path))
     tail = np.array([end_id], "<u4").tobytes()
     kind = docs.schema[id_col].dataType.simpleString()
     step = 4 * window
 
     def run(batches):
-        coder = WordEncoder(path, table.value)
-        for batch in batches:
-            row, start, length, crc, total, ids = [], [], [], [], [], []
-            texts = (t.as_py() or "" for t in batch.column(1))
-            for i, code in enumerate(coder.encode(texts)):
+        from pyspark import TaskContext
+
+        coder = WordEncoder(path, known.value)
+        number = FULL + (TaskContext.get().partitionId() << 40)
+        for table in gathered(batches, 1):
+            row, start, length, crc, total, full, ids = [], [], [], [], [], [], []
+            for i, code in enumerate(coder.encode(table.column(1).combine_chunks())):
                 code += tail
                 for at in range(0, len(code), step):
                     piece = code[at:at + step]
@@ -95,39 +102,45 @@ def cut_pieces(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1,
                     length.append(len(piece) // 4)
                     crc.append(crc32(piece))
                     total.append(len(code) // 4)
+                    full.append(number if len(piece) == step else None)
+                    number += len(piece) == step
                     if keep_ids:
                         ids.append(np.frombuffer(piece, "<u4").astype(np.int32))
-            cols = [batch.column(0).take(pa.array(row, pa.int64()))]
-            cols += [pa.array(c, pa.int64()) for c in (start, length, crc, total)]
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+            cols = [table.column(0).combine_chunks().take(pa.array(row, pa.int64()))]
+            cols += [pa.array(c, pa.int64()) for c in (start, length, crc, total, full)]
+            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "full"]
             if keep_ids:
                 cols.append(pa.array(ids, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
+    schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, full long"
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return picked.mapInArrow(run, schema + (", ids array<int>" if keep_ids else ""))
 
 
 def pack(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, shard_rows: int = 60_000,
-         keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         shard_ids: int = 16_000_000, keep_ids: bool = False, id_col: str = "doc_id",
+         text_col: str = "text") -> DataFrame:
     """Pack all documents into sequences of at most `window` tokens.
 
-    Texts longer than a window are first cut into full windows, each a sequence of its
-    own. What remains of every document is placed whole by best-fit decreasing, within
-    shards of about `shard_rows` documents dealt out evenly whatever their ids, so hot
-    keys do not matter and a task's memory is bounded. Rounds of dealing are sorted first,
-    and a shard sorts its pieces, so a task run again gives the same sequences.
+    Texts longer than a window are first cut into full windows, each a sequence of its own, numbered
+    where it is cut. What remains of every document is placed whole by best-fit decreasing, within
+    shards of about `shard_rows` remainders (with `keep_ids` also of at most some `shard_ids` ids) dealt
+    out evenly whatever their ids, so hot keys do not matter and a task's memory is bounded. Pieces are a
+    table in the shared folder; a shard sorts what it gets, so a task run again gives the same sequences.
 
-    Returns the columns of `cut_pieces` plus sequence_id and offset; offsets in a sequence
-    are gapless from 0. A null text is empty: one piece of one token, the end id. Repeated
-    rows are packed as often as they come. An empty table gives no rows.
+    Returns doc_id, start, length, ids_crc32, doc_tokens, with `keep_ids` ids, then sequence_id and offset;
+    offsets in a sequence are gapless from 0. A null text is empty: one piece of one token, the end id.
+    Repeated rows are packed as often as they come. Extra columns are ignored, whatever their names. An
+    empty table gives no rows.
     """
     import pyarrow as pa
 
-    pieces = cut_pieces(docs, path, window, end_id, keep_ids, id_col, text_col)
-    shards = max(1, -(-docs.count() // shard_rows))
+    pieces = settle(cut_pieces(docs, path, window, end_id, keep_ids, id_col, text_col))
+    tails = pieces.where("full is null").drop("full")
+    rows, tokens = tails.agg(F.count(F.lit(1)), F.sum("length")).first()
+    shards = max(1, -(-rows // shard_rows), -(-(tokens or 0) // shard_ids) if keep_ids else 1)
 
     def run(batches):
         from pyspark import TaskContext
@@ -135,19 +148,15 @@ def pack(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, shard_
         batches = list(batches)
         if not batches:
             return
-        got = pa.Table.from_batches(batches)
-        length = got["length"].to_numpy()
-        order = np.lexsort((got["ids_crc32"].to_numpy(), got["start"].to_numpy(),
-                            got["doc_id"].fill_null(-1).to_numpy(), -length))
-        got, length = got.take(pa.array(order)), length[order]
-        full = int(np.searchsorted(-length, -window, "right"))
-        number, offset = best_fit(length[full:], window)
-        number = np.concatenate([np.arange(full), full + number])
-        offset = np.concatenate([np.zeros(full, np.int64), offset])
+        got = pa.Table.from_batches(batches).sort_by(
+            [("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
+        number, offset = best_fit(got["length"].to_numpy(), window)
         shard = TaskContext.get().partitionId()
         got = got.append_column("sequence_id", pa.array(number + (shard << 40), pa.int64()))
         got = got.append_column("offset", pa.array(offset, pa.int64()))
         yield from got.to_batches(max_chunksize=10_000)
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
-    return pieces.repartition(shards).mapInArrow(run, schema + ", sequence_id long, offset long")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tails.schema)
+    whole = pieces.where("full is not null").withColumn("sequence_id", F.col("full")).drop("full")
+    placed = tails.repartition(shards).mapInArrow(run, schema + ", sequence_id long, offset long")
+    return whole.withColumn("offset", F.lit(0).cast("long")).unionByName(placed)

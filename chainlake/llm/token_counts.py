@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainlake.llm.words import WordEncoder, whole_tokens
+from chainlake.llm.words import WordEncoder, gathered, whole_tokens
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 1024,
@@ -15,8 +15,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024,
     Counts equal the library's for the byte-level BPE file at `path`: no begin, end or
     added specials, special strings inside a text as the library's default treats them.
     Which vocabulary strings stand for one token alone is proven once, ahead of the scan;
-    units found among them count one, and only the rest are merged, once per distinct unit
-    and task. No shuffle; a task holds one Arrow batch and a bounded memo.
+    units found among them count one, and only the rest are merged, once per distinct unit of
+    some 8 MB of texts. No shuffle; a task holds that much text at a time, or one longer text.
 
     A null text counts as empty: 0 bytes, 0 tokens. Repeated rows, null ids and extra
     columns pass through or are ignored: one row out per row in.
@@ -27,11 +27,10 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024,
 
     def run(batches):
         coder = WordEncoder(path, table.value)
-        for batch in batches:
-            texts = (t.as_py() or "" for t in batch.column(1))
-            counts = [len(ids) // 4 for ids in coder.encode(texts)]
+        for table_ in gathered(batches, 1):
+            ids, texts, sizes = (c.combine_chunks() for c in table_.columns)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(counts, pa.int64())],
+                [ids, sizes, pa.array(coder.counts(texts), pa.int64())],
                 names=["doc_id", "n_bytes", "n_tokens"])
 
     kind = docs.schema[id_col].dataType.simpleString()

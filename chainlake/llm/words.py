@@ -16,7 +16,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 CUT = re.compile(r" (?=\S)")
-MARKS = ".,;:!?$&%*#)"
+# Letters below U+0250 are letters in every version of Unicode.
+LETTERS = "[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"
+MARKS = r"[.,;:!?$&%*#)]"
+PLAIN = f"^{LETTERS}{MARKS}*(\n{LETTERS}{MARKS}*)*$"
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -66,121 +69,185 @@ def merge_ranks(path: str) -> dict[bytes, int] | None:
     return {bytes(back[c] for c in p): vocab[p] for p in made}
 
 
+def gathered(batches: Iterable, column: int, size: int = 8 << 20) -> Iterator:
+    """Arrow batches put together until their texts hold `size` bytes."""
+    import pyarrow as pa
+
+    held, total = [], 0
+    for batch in batches:
+        held.append(batch)
+        total += batch.column(column).nbytes
+        if total >= size:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, total = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 class WordEncoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes.
+    """Token ids of many texts at once; the distinct units among them are encoded once.
 
-    `memo` maps a unit (without its leading space) to the ids of " " + unit, and to None
-    where the unit starts with white space, which must not be cut off. It starts with the
-    proven single tokens, and drops what it learned beyond `limit` units. Units of plain
-    words, end marks and single line ends are pre-tokens known without a pattern and are merged
-    one by one; the library takes all others whole.
+    Units that are proven single tokens are looked up. Other units of plain words, end marks and
+    single line ends fall into pre-tokens known without a pattern, and all of them are merged in one
+    call. The library takes the rest whole, and so it does with texts that cannot be cut at every space.
     """
 
-    def __init__(self, path: str, proven: dict[str, int], limit: int = 700_000, longest: int = 64):
+    def __init__(self, path: str, proven: dict[str, int], longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import pyarrow as pa
         from tiktoken import Encoding
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.special = {t.content: _ids([i])
                         for i, t in self.tok.get_added_tokens_decoder().items()}
-        self.base = {p[1:]: _ids([i]) for p, i in proven.items()
-                     if p[:1] == " " and p[1:] and not p[1].isspace()}
-        self.proven = proven
+        self.proven = {lead: {p[len(lead):]: i for p, i in proven.items() if p.startswith(lead) and p != lead}
+                       for lead in ("", " ")}
+        self.names = {lead: pa.array(list(known), pa.large_string()) for lead, known in self.proven.items()}
+        self.numbers = {lead: np.array(list(known.values()), np.uint32) for lead, known in self.proven.items()}
         ranks = merge_ranks(path)
-        self.piece = None if ranks is None else Encoding(
-            "pieces", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
-        self.tails: dict[str, bytes] = {}
-        self.limit, self.longest = limit, longest
-        self.memo: dict[str, bytes | None] = dict(self.base)
+        # A zero byte ends a pre-token, a one byte a unit; each is a token of its own.
+        self.pieces = None if ranks is None else Encoding(
+            "pieces", pat_str=r"[^\x00\x01]+|[\x00\x01]", mergeable_ranks=ranks, special_tokens={})
+        self.ends = None if ranks is None else (ranks[b"\0"], ranks[b"\1"])
+        self.longest = longest
         self.marks = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") \
             if self.special else None
 
-    def plain(self, unit: str, lead: str) -> bytes | None:
-        """Ids of lead + unit if it is a word with end marks, or lines of such; else None."""
-        if "\n" in unit:
-            parts = [self.plain(p, lead if i == 0 else "") for i, p in enumerate(unit.split("\n"))]
-            return None if None in parts else self._tail("\n").join(parts)
-        word = unit.rstrip(MARKS)
-        # Letters below this code point are letters in every version of Unicode.
-        if not word.isalpha() or not (word.isascii() or max(word) < "\u0250"):
-            return None
-        code = _ids(self.piece(lead + word))
-        return code if len(word) == len(unit) else code + self._tail(unit[len(word):])
-
-    def _tail(self, marks: str) -> bytes:
-        if marks not in self.tails:
-            if len(self.tails) > 10_000:
-                self.tails.clear()
-            self.tails[marks] = _ids(self.piece(marks))
-        return self.tails[marks]
-
-    def encode_units(self, units: list[str], lead: str) -> list[bytes]:
-        """Ids of lead + unit for each unit."""
-        out = [self.plain(u, lead) for u in units] if self.piece else [None] * len(units)
-        rest = [i for i, code in enumerate(out) if code is None]
-        for i, code in zip(rest, self.merged([lead + units[i] for i in rest])):
-            out[i] = code
-        return out
-
     def merged(self, texts: list[str]) -> list[bytes]:
+        """Ids by the library."""
         return [_ids(e.ids) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, units: set[str]) -> None:
-        """Merge the units that are neither proven nor seen."""
-        new = {u for u in units.difference(self.memo) if len(u) <= self.longest}
-        if not new:
-            return
-        if len(self.memo) + len(new) > self.limit:
-            self.memo = dict(self.base)
-            new = {u for u in units.difference(self.memo) if len(u) <= self.longest}
-        good = [u for u in new if u and not u[0].isspace()]
-        self.memo.update(dict.fromkeys(new.difference(good)))
-        self.memo.update(zip(good, self.encode_units(good, " ")))
-
-    def encode(self, texts: Iterable[str], chunk: int = 1 << 20) -> Iterator[bytes]:
-        """Ids of each text, `chunk` characters' worth of short texts at a time."""
-        held: list[str] = []
-        size = 0
-        for text in texts:
-            held.append(text)
-            size += len(text)
-            if size >= chunk:
-                yield from self._some(held)
-                held, size = [], 0
-        yield from self._some(held)
-
-    def _some(self, texts: list[str]) -> Iterator[bytes]:
-        parts: list[list[str]] = []
-        marked = [bool(self.marks and self.marks.search(t)) for t in texts]
-        for text, has in zip(texts, marked):
-            # Texts with special strings are cut at them first, as the library does.
-            parts.append(self.marks.split(text) if has else [text])
-        spans = [(s, has and s in self.special) for p, has in zip(parts, marked) for s in p]
-        split = [None if is_mark else s.split(" ") for s, is_mark in spans]
-        seen: set[str] = set()
-        for units in split:
+    def units(self, units, lead: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of lead + unit for each of the given units (Arrow): all ids in a row, and how many each has."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        n = len(units)
+        place = pc.index_in(units, value_set=self.names[lead])
+        single = pc.is_valid(place).to_numpy(zero_copy_only=False)
+        plain = np.zeros(n, bool)
+        if self.pieces:
+            plain = pc.match_substring_regex(units, PLAIN).to_numpy(zero_copy_only=False) & ~single
+        rest = ~(single | plain)
+        size = np.ones(n, np.int64)
+        parts = [(single, self.numbers[lead][place.drop_null().to_numpy()])]
+        if plain.any():
+            text = units.filter(pa.array(plain))
+            text = pc.replace_substring_regex(text, f"({MARKS}+)", "\0\\1")
+            text = pc.replace_substring(text, "\n", "\0\n\0")
+            whole = pc.binary_join_element_wise(*[pa.scalar(x, pa.large_string()) if x is not text else x
+                                                  for x in (lead, text, "\1", "")])
+            ids = self.pieces.encode_to_numpy("".join(whole.to_pylist()) if whole.offset else
+                                              whole.buffers()[2].to_pybytes().decode()).astype(np.uint32)
+            ids = ids[ids != self.ends[0]]
+            last = np.flatnonzero(ids == self.ends[1])
+            size[plain] = np.diff(last, prepend=-1) - 1
+            parts.append((plain, ids[ids != self.ends[1]]))
+        if rest.any():
+            codes = self.merged([lead + u for u in units.filter(pa.array(rest)).to_pylist()])
+            size[rest] = [len(c) // 4 for c in codes]
+            parts.append((rest, np.frombuffer(b"".join(codes), "<u4")))
+        start = np.cumsum(size) - size
+        flat = np.zeros(int(size.sum()), np.uint32)
+        for which, ids in parts:
+            flat[_spread(start[which], size[which])] = ids
+        return flat, size
+
+    def _coded(self, texts):
+        """Per unit of the texts a code, per code its ids, and which texts have to go another way."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        split = pc.split_pattern(texts, " ")
+        coded = split.flatten().dictionary_encode()
+        code, at = coded.indices.to_numpy().astype(np.int64), split.offsets.to_numpy()
+        at = at - at[0]
+        names, head = coded.dictionary, at[:-1]
+        inner = np.ones(len(code), bool)
+        inner[head] = False
+        used = np.zeros(len(names), bool)
+        used[code[inner]] = True
+        # A unit that starts with white space, or is empty or long, is not cut off.
+        first = pc.utf8_slice_codeunits(names, 0, 1)
+        good = pc.and_(pc.less_equal(pc.utf8_length(names), self.longest),
+                       pc.invert(pc.or_(pc.equal(first, ""), _blank(first)))).to_numpy(zero_copy_only=False)
+        flat, size = np.zeros(0, np.uint32), np.zeros(len(names), np.int64)
+        flat, size[used & good] = self.units(names.filter(pa.array(used & good)), " ")
+        heads, head_size = self.units(names.take(pa.array(code[head])), "")
+        odd = inner & ~good[code]
+        code[head] = len(names) + np.arange(len(texts))
+        size = np.append(size, head_size)
+        flat = np.append(flat, heads)
+        slowly = np.logical_or.reduceat(odd, head)
+        for mark in self.special:
+            slowly |= pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)
+        return code, at, flat, np.cumsum(size) - size, size, slowly
+
+    def encode(self, texts) -> list[bytes]:
+        """Ids of each text of an Arrow array, as little-endian unsigned 32-bit bytes; null counts as empty."""
+        texts = _filled(texts)
+        if not len(texts):
+            return []
+        code, at, flat, start, size, slowly = self._coded(texts)
+        count = size[code]
+        ids = flat[_spread(start[code], count)].astype("<u4").tobytes()
+        bounds = (4 * np.append(0, np.cumsum(count)[at[1:] - 1])).tolist()
+        return [self._slowly(texts[i].as_py()) if odd else ids[a:b]
+                for i, (odd, a, b) in enumerate(zip(slowly.tolist(), bounds, bounds[1:]))]
+
+    def counts(self, texts) -> np.ndarray:
+        """Number of ids of each text."""
+        texts = _filled(texts)
+        if not len(texts):
+            return np.zeros(0, np.int64)
+        code, at, _, _, size, slowly = self._coded(texts)
+        out = np.add.reduceat(size[code], at[:-1])
+        for i in np.flatnonzero(slowly).tolist():
+            out[i] = len(self._slowly(texts[i].as_py())) // 4
+        return out
+
+    def _slowly(self, text: str) -> bytes:
+        """Ids of a text with special strings, long units, or white space after a space."""
+        import pyarrow as pa
+
+        # Texts with special strings are cut at them first, as the library does.
+        spans = self.marks.split(text) if self.marks else [text]
+        out = []
+        for at, span in enumerate(spans):
+            if at % 2:
+                out.append(self.special[span])
+                continue
+            head, *units = CUT.split(span)
+            out += self.merged([head])
             if units:
-                seen.update(units[1:])
-        self.learn(seen)
-        heads = self.encode_units([u[0] if u else "" for u in split], "")
-        done = iter([self.special[s] if is_mark else self._span(s, u, h)
-                     for (s, is_mark), u, h in zip(spans, split, heads)])
-        for p in parts:
-            yield b"".join([next(done) for _ in p])
-
-    def _span(self, text: str, units: list[str], head: bytes) -> bytes:
-        try:
-            return head + b"".join(map(self.memo.__getitem__, units[1:]))
-        except (KeyError, TypeError):
-            # Long units, or white space after a space: cut only where it is safe.
-            units = CUT.split(text)
-            self.learn(set(units[1:]))
-            out = self.merged([units[0]])
-            for u in units[1:]:
-                code = self.memo.get(u)
-                out.append(code if code is not None else self.merged([" " + u])[0])
-            return b"".join(out)
+                names = pa.array(units, pa.large_string()).dictionary_encode()
+                flat, size = self.units(names.dictionary, " ")
+                code = names.indices.to_numpy()
+                out.append(flat[_spread((np.cumsum(size) - size)[code], size[code])].astype("<u4").tobytes())
+        return b"".join(out)
+
+
+def _filled(texts):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    return pc.fill_null(texts.cast(pa.large_string()), "")
+
+
+def _blank(first):
+    """Whether a character is white space for Python, which knows more of it than any pattern."""
+    import pyarrow as pa
+
+    coded = first.dictionary_encode()
+    blank = np.array([u.isspace() for u in coded.dictionary.to_pylist()], bool)
+    return pa.array(blank[coded.indices.to_numpy()])
+
+
+def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[i], start[i] + 1, ... of `size[i]` places each, one after the other."""
+    end = np.cumsum(size)
+    return np.repeat(start - end + size, size) + np.arange(end[-1] if len(end) else 0)
 
 
 def _ids(ids: list[int]) -> bytes:

@@ -3,7 +3,9 @@ from collections import defaultdict
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tests.llm.helpers import ODD, documents
 from tokenizers import Tokenizer
 
@@ -38,11 +40,22 @@ def test_proven_strings_are_one_token(tok, proven):
     assert all(want(tok, s) == [i] for s, i in list(proven.items())[::997])
 
 
-@pytest.mark.parametrize("limit", [60_000, 400_000])
-def test_ids_equal_the_library(tok, proven, limit):
-    texts = [t or "" for t in ODD] + noise(3000, 1)
-    got = [np.frombuffer(b, "<u4").tolist() for b in WordEncoder(bpe_50k(), proven, limit).encode(texts, 500)]
-    assert got == [want(tok, t) for t in texts]
+def test_ids_equal_the_library(tok, proven):
+    words = ["Straße", "naïve.", "x\ny", "ab.\ncd!", "a.\n\nb", "it's", "word))", "(word", "ﬁne", "\x00a", "a\x01", "don't."]
+    texts = [t or "" for t in ODD] + noise(3000, 1) + [" ".join(words), *words, *[f"a {w} b" for w in words]]
+    coder = WordEncoder(bpe_50k(), proven)
+    for at in (0, 7):
+        got = coder.encode(pa.array(texts)[at:])
+        assert [np.frombuffer(b, "<u4").tolist() for b in got] == [want(tok, t) for t in texts[at:]]
+    assert coder.counts(pa.array(texts)).tolist() == [len(want(tok, t)) for t in texts]
+    assert coder.encode(pa.array([], pa.string())) == [] and len(coder.counts(pa.array([], pa.string()))) == 0
+
+
+def test_whole_texts_of_the_given_table(spark, tok, proven):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    texts += ["".join(texts)[:1_500_000], "word " * 300_000, "x" * 20_000 + " y"]
+    got = WordEncoder(bpe_50k(), proven).encode(pa.array(texts))
+    assert [np.frombuffer(b, "<u4").tolist() for b in got] == [want(tok, t) for t in texts]
 
 
 def test_counts(spark, tok):
@@ -95,3 +108,13 @@ def test_packing_is_a_partition(spark, tok, shard_rows):
             assert {p[2] for p in ordered} == {len(want(tok, t)) + 1}
     assert len(whole[0]) == 3 and sum(r.length for r in rows) == sum(len(want(tok, t)) + 1 for t in texts)
     assert pack(documents(spark, []), bpe_50k()).count() == 0
+
+
+def test_only_remainders_are_dealt(spark):
+    docs = documents(spark, ["many words here " * 20_000] * 6 + ["tail"] * 3)
+    docs = docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    rows = pack(docs, bpe_50k(), window=128, shard_rows=2).collect()
+    full = [r for r in rows if r.length == 128]
+    assert len(full) > 2000 and len({r.sequence_id for r in full}) == len(full)
+    assert {r.sequence_id for r in full}.isdisjoint(r.sequence_id for r in rows if r.length < 128)
+    assert len({r.sequence_id >> 40 for r in rows if r.length < 128}) >= 3
