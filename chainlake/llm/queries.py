@@ -250,3 +250,36 @@ def op12_merkle_manifest(read):
     changed = [F.col(c) + 1 if c == "n_chars" else F.col(c) for c in MANIFEST_FIELDS]
     shown = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, leaf_digest(*changed))
     return manifest(read("documents"), MANIFEST_FIELDS, shown=shown)
+
+
+@query(r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+words AS (SELECT lang, [x for x in string_split_regex(p, '[\x20\x09]+') if x <> ''] AS w FROM pieces),
+counts AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM words, unnest([1, 2, 3]) AS s(m), unnest(generate_series(1, len(w) - m + 1)) AS g(i) GROUP BY ALL),
+found AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE m > 1 AND f >= 10),
+cut AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, k,
+         CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM (SELECT found.*, unnest(range(1, m)) AS k FROM found) c
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:c.k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+least AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a
+  FROM found WHERE m = 3),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least
+  WHERE NOT EXISTS (SELECT 1 FROM inside WHERE inside.lang = least.lang AND inside.phrase = least.phrase
+                    AND 100 * inside.a >= 50 * least.a))
+SELECT lang, rank, phrase, a, l, r, (SELECT CAST(sum(f) AS BIGINT) FROM counts n WHERE n.lang = ranked.lang AND m = 1) AS n,
+       score FROM ranked WHERE rank <= 2000
+""")
+def op13_collocations(read):
+    """The 2000 phrases of two and three words of each language that belong together most."""
+    from chainlake.llm.collocations import collocations
+
+    return collocations(read("documents"))

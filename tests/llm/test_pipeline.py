@@ -45,7 +45,7 @@ def test_stages_against_plain_versions(spark, folder):
         least[s] = min(least[s], i)
     assert sorted(ids["near_duplicates"]) == sorted(least.values())
     assert sorted(ids["decontamination"]) == sorted(i for i in least.values() if PASSAGE not in texts[i])
-    assert n - 2 not in ids["decontamination"] and ids["secrets"].sort() == ids["decontamination"].sort()
+    assert n - 2 not in ids["decontamination"] and sorted(ids["secrets"]) == sorted(ids["decontamination"])
     clean = {r.doc_id: r for r in after["secrets"]}
     assert HEX not in clean[n - 1].text and "[SECRET]" in clean[n - 1].text
     same = [i for i, r in clean.items() if r.text == texts[i]]
