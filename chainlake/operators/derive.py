@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from chainlake.functions import bytecode, hexes, scalars
 from chainlake.operators.ranking import add_rank
@@ -148,38 +149,26 @@ def _path_text(path: Column) -> Column:
 def trace_status(traces: DataFrame) -> DataFrame:
     """Status 0 for a trace that failed or has a failed ancestor, else 1.
 
-    In transactions with a failed node, every trace asks for its own proper prefixes among
-    the failed ones. Answers are reduced by key before they meet the traces. All traces
-    below one failed root ask for the same key; that join can be split by its size.
+    Paths in ascending order list a transaction's traces depth first, so what lies below a failed trace
+    is the run that follows it, up to its path with the greatest number appended. Such runs nest or stay
+    apart: a trace lies in one if the furthest end among the failed traces ahead of it is not behind it.
+    One shuffle and one sorted run a transaction, whatever the depth. A trace outside transactions (no
+    hash) stands alone; these are dealt by block and receiver.
     """
-    failed = F.length("error") > 0
+    failed = F.coalesce(F.length("error") > 0, F.lit(False))
+    path = F.coalesce(F.col("trace_address").cast("array<int>"), F.array().cast("array<int>"))
     scoped = scalars.in_transaction()
-    depth = F.coalesce(F.size("trace_address"), F.lit(0))
-    prefixes = F.transform(
-        F.sequence(F.lit(0), F.greatest(depth - 1, F.lit(0))),
-        lambda n: _path_text(F.slice(F.col("trace_address"), F.lit(1), n)),
-    )
-    roots = (
-        traces.where(scoped & F.coalesce(failed, F.lit(False)))
-        .select("transaction_hash", _path_text(F.col("trace_address")).alias("_above"))
-        .distinct()
-    )
-    # Few transactions fail anywhere; the others ask nothing.
-    asks = (
-        traces.where(scoped & (depth > 0))
-        .join(roots.select("transaction_hash").distinct(), "transaction_hash", "left_semi")
-        .select("transaction_hash", _path_text(F.col("trace_address")).alias("_path"),
-                F.explode(prefixes).alias("_above"))
-    )
-    below = asks.join(roots, ["transaction_hash", "_above"], "left_semi").select(
-        "transaction_hash", "_path"
-    ).distinct().withColumn("_below", F.lit(True))
-    own = F.when(F.coalesce(failed, F.lit(False)), 0).otherwise(1)
+    run = W.partitionBy("_tx", "_loose").orderBy(F.col("_path").asc(), F.col("_failed").asc())
+    furthest = F.max(F.when(F.col("_failed"), F.concat("_path", F.array(F.lit(2**31 - 1))))).over(
+        run.rowsBetween(W.unboundedPreceding, -1))
+    loose = F.when(~scoped, F.xxhash64("block_number", "to_address"))
     return (
-        traces.withColumn("_path", _path_text(F.col("trace_address")))
-        .join(below, ["transaction_hash", "_path"], "left")
-        .withColumn("status", F.when(F.col("_below"), 0).otherwise(own))
-        .drop("_path", "_below")
+        traces.withColumns({"_tx": F.when(scoped, F.col("transaction_hash")), "_loose": loose,
+                            "_path": path, "_failed": failed})
+        .withColumn("_end", furthest)
+        .withColumn("status", F.when(F.col("_failed"), 0)
+                    .when(F.col("_tx").isNotNull() & (F.col("_end") >= F.col("_path")), 0).otherwise(1))
+        .drop("_tx", "_loose", "_path", "_failed", "_end")
     )
 
 

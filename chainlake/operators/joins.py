@@ -35,8 +35,21 @@ def _receipted(tx: DataFrame, receipts: DataFrame, how: str) -> DataFrame:
     return join_project(tx, receipts, ("hash", "transaction_hash"), own, fields, how)
 
 
+def _or_error(found: Column, value: Column, what: str, key: Column) -> Column:
+    """`value` where the partner was found; else an error that names the key, never a lost row."""
+    missing = F.raise_error(F.concat(F.lit(f"{what} "), F.coalesce(key.cast("string"), F.lit("NULL"))))
+    return F.when(found, value).otherwise(missing)
+
+
 def enrich_transactions(tx: DataFrame, receipts: DataFrame) -> DataFrame:
-    return _receipted(tx, receipts, "inner")
+    """Add the receipt's fields; a transaction without receipt is an error when the row is read."""
+    tagged = receipts.withColumn("contract_address", F.struct("contract_address"))
+    met = left_receipts(tx, tagged)
+    # A receipt always gives the struct, whatever it holds.
+    held = F.col("receipt_contract_address")
+    value = lambda c: held["contract_address"] if c == "receipt_contract_address" else F.col(c)
+    return met.withColumns({c: _or_error(held.isNotNull(), value(c), "no receipt of", F.col("hash"))
+                            for c in met.columns if c.startswith("receipt_")})
 
 
 def left_receipts(tx: DataFrame, receipts: DataFrame) -> DataFrame:
@@ -44,16 +57,18 @@ def left_receipts(tx: DataFrame, receipts: DataFrame) -> DataFrame:
 
 
 def with_block(items: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Add time and hash of the block to items carrying its number."""
-    own = [c for c in items.columns if c not in ("block_timestamp", "block_hash")]
-    return join_project(
-        items, blocks, ("block_number", "number"), own,
-        [("timestamp", "block_timestamp"), ("hash", "block_hash")],
-    )
+    """Add time and hash of the block to items carrying its number (logs, transfers, traces, contracts, tokens).
 
-
-enrich_logs = enrich_token_transfers = enrich_traces = with_block
-enrich_contracts = enrich_tokens = with_block
+    An item whose block is not there is an error when the row is read. Both added columns carry the
+    check, so a plan that needs only one of them has it too.
+    """
+    own = [c for c in items.columns if c not in ("block_timestamp", "block_hash")]
+    known = blocks.select(F.col("number").alias("_number"), "timestamp", "hash")
+    met = items.alias("i").join(known.alias("b"), F.col("i.block_number") == F.col("b._number"), "left")
+    checked = lambda c: _or_error(
+        F.col("b._number").isNotNull(), F.col(f"b.{c}"), "no block with number", F.col("i.block_number"))
+    return met.select(*[F.col(f"i.{c}") for c in own], checked("timestamp").alias("block_timestamp"),
+                      checked("hash").alias("block_hash"))
 
 
 def join_ci(left: DataFrame, right: DataFrame, lcol: str, rcol: str, how: str = "inner",

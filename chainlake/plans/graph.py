@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -24,7 +22,7 @@ EDGES_PER_SLICE = 1_000_000
 
 def prepare_edges(tx: DataFrame, sides=("from_address",), mode: str = "blocks") -> DataFrame:
     """Newest transaction of each pair with its age weight; loops and burns left out."""
-    fee = F.col("gas").cast("decimal(38,0)") * F.col("gas_price").cast("decimal(38,0)")
+    fee = F.try_multiply(F.col("gas").cast("decimal(38,0)"), F.col("gas_price").cast("decimal(38,0)"))
     slim = tx.select("hash", "block_number", "transaction_index", "from_address", "to_address",
                      fee.cast("decimal(38,0)").alias("gas_used"))
     clean = rows.exclude_burn(rows.drop_null_endpoints(rows.drop_self_loops(slim)), sides)
@@ -206,46 +204,52 @@ def reputation_table(scores: DataFrame, edges: DataFrame) -> DataFrame:
 
 # --- agreement of two rankings -----------------------------------------------
 
-def _swaps(values: np.ndarray) -> int:
-    """Pairs of a permutation that are out of order."""
-    total, width = 0, 1
-    rank = np.argsort(np.argsort(values, kind="stable"), kind="stable")
-    # Pairs split at bit b of the rank: within a block of 2 * width ranks, count
-    # the upper-half members ahead of each lower-half member.
-    order = np.arange(len(rank))
-    while width < len(rank):
-        block, upper = rank // (2 * width), (rank // width) % 2
-        at = np.lexsort((order, block))
-        up, blk = upper[at], block[at]
-        seen = np.cumsum(up)
-        start = np.searchsorted(blk, blk, side="left")
-        ahead = seen - np.where(start > 0, seen[np.maximum(start - 1, 0)], 0)
-        total += int(ahead[up == 0].sum())
-        width *= 2
-    return total
-
-
-def _same_strip(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("x")
-    return pd.DataFrame({"swaps": [_swaps(pdf["y"].to_numpy())]})
-
-
-def _cross_strip(pdf: pd.DataFrame) -> pd.DataFrame:
-    # Pairs inside one y strip but in different x strips: all minus same-x ones.
-    pdf = pdf.sort_values("x")
-    total = _swaps(pdf["y"].to_numpy())
-    inside = sum(_swaps(g["y"].to_numpy()) for _, g in pdf.groupby("xs") if len(g) > 1)
-    return pd.DataFrame({"swaps": [total - inside]})
+DIGIT = 4  # bits of a position compared per step of the inversion count
+
+
+def inversions(placed: DataFrame, n: int, cell: int = 200_000) -> DataFrame:
+    """`swaps`: pairs of rows that x and y order differently, where each numbers the n rows from 1.
+
+    Two rows are told apart by the first digit in which their y positions differ. Per digit, rows that
+    agree before it form a block, and walking a block along x, each row has swapped with those passed
+    before it whose digit is greater. A block is cut along x into cells of some `cell` rows; inside a cell
+    a running count per digit does the walk, and between cells the counts of the cells before do. Only
+    occupied cells exist, every row is in one per digit, and no pair is ever listed.
+    """
+    base = 1 << DIGIT
+    steps = max(1, math.ceil(max(n - 1, 1).bit_length() / DIGIT))
+    options = [F.struct(F.lit(k).alias("step"), F.lit(base ** (steps - 1 - k)).cast("bigint").alias("unit"),
+                        # Cells of a block of this size, spread evenly, hold `cell` rows.
+                        F.lit(max(1, cell * n // min(n, base ** (steps - k)))).cast("bigint").alias("wide"))
+               for k in range(steps)]
+    div = lambda a, b: F.call_function("div", a, b)
+    at = placed.select((F.col("x") - 1).alias("x"), (F.col("y") - 1).alias("y"), F.explode(F.array(*options)).alias("o"))
+    rows = at.select("x", F.col("o.step").alias("step"), div(F.col("y"), F.col("o.unit") * base).alias("block"),
+                     (div(F.col("y"), F.col("o.unit")) % base).alias("digit"),
+                     div(F.col("x"), F.col("o.wide")).alias("cell"))
+    walk = W.partitionBy("step", "block", "cell").orderBy("x").rowsBetween(W.unboundedPreceding, W.currentRow)
+    own, exact = F.col("digit"), lambda c: c.cast("decimal(38,0)")
+    seen = F.array(*[F.count(F.when(own == d, 1)).over(walk) for d in range(base)])
+    # Ahead of a row: everything seen of greater digits.
+    ahead = F.aggregate(F.slice(F.col("seen"), own.cast("int") + 2, base), F.lit(0).cast("bigint"), lambda a, c: a + c)
+    inside = rows.withColumn("seen", seen).withColumn("ahead", ahead)
+    cells = inside.groupBy("step", "block", "cell").agg(
+        F.sum(exact(F.col("ahead"))).alias("swaps"), *[F.count(F.when(own == d, 1)).alias(f"c{d}") for d in range(base)])
+    before = W.partitionBy("step", "block").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
+    passed = cells.withColumns({f"p{d}": exact(F.coalesce(F.sum(f"c{d}").over(before), F.lit(0))) for d in range(1, base)})
+    greater, between = F.lit(0).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)")
+    for d in range(base - 2, -1, -1):
+        greater = (greater + F.col(f"p{d + 1}")).cast("decimal(19,0)")
+        between = between + greater * F.col(f"c{d}").cast("decimal(19,0)")
+    return passed.select((F.col("swaps") + between).cast("decimal(38,0)").alias("swaps"))
 
 
 def kendall_tau(pairs: DataFrame, a: str = "rank_a", b: str = "rank_b", key: str = "address",
                 top: int | None = None, strip: int = 200_000) -> DataFrame:
     """Tau-b of two columns as one row `n, tau`.
 
-    Both columns become positions 1..n. Both axes are cut into strips of equal
-    size, so each pair of rows is counted in exactly one place: in its x strip, in
-    its y strip, or between two cells of the strip grid, by running sums over
-    the grid. No pair is ever materialised and no strip outgrows its size.
+    Both columns become positions 1..n, and the pairs they order differently are counted by `inversions`
+    in cells of some `strip` rows.
     """
     if top is not None:
         pairs = pairs.orderBy(F.col(a).asc(), F.col(key).asc()).limit(top)
@@ -258,31 +262,13 @@ def kendall_tau(pairs: DataFrame, a: str = "rank_a", b: str = "rank_b", key: str
         return placed.sparkSession.range(1).select(
             F.lit(n).cast("bigint").alias("n"), F.lit(None).cast("double").alias("tau")
         )
-    strips = max(1, math.ceil(n / strip))
-    size = math.ceil(n / strips)
-    cells = placed.select(
-        "x", "y", F.floor((F.col("x") - 1) / size).cast("int").alias("xs"),
-        F.floor((F.col("y") - 1) / size).cast("int").alias("ys"),
-    )
-    same = cells.groupBy("xs").applyInPandas(_same_strip, "swaps bigint")
-    cross = cells.groupBy("ys").applyInPandas(_cross_strip, "swaps bigint")
-    counts = cells.groupBy("xs", "ys").agg(F.count(F.lit(1)).alias("c"))
-    grid = placed.sparkSession.range(strips * strips).select(
-        F.floor(F.col("id") / strips).cast("int").alias("xs"),
-        (F.col("id") % strips).cast("int").alias("ys"),
-    ).join(counts, ["xs", "ys"], "left").fillna(0, ["c"])
-    left = W.partitionBy("ys").orderBy("xs").rowsBetween(W.unboundedPreceding, -1)
-    above = W.partitionBy("xs").orderBy(F.col("ys").desc()).rowsBetween(W.unboundedPreceding, -1)
-    grid = grid.withColumn("_left", F.coalesce(F.sum("c").over(left), F.lit(0)))
-    grid = grid.withColumn("_ahead", F.coalesce(F.sum("_left").over(above), F.lit(0)))
-    between = grid.select((F.col("c") * F.col("_ahead")).alias("swaps"))
 
     def tied(*cols: str):
         groups = placed.groupBy(*cols).agg(F.count(F.lit(1)).cast("double").alias("c"))
         return groups.agg(F.coalesce(F.sum(F.col("c") * (F.col("c") - 1) / 2), F.lit(0.0))).scalar()
 
     all_pairs = n * (n - 1) / 2.0
-    swaps = same.unionByName(cross).unionByName(between).agg(F.sum("swaps").cast("double").alias("d"))
+    swaps = inversions(placed, n, strip).agg(F.sum("swaps").cast("double").alias("d"))
     sums = swaps.select("d", tied("a").alias("t1"), tied("b").alias("t2"), tied("a", "b").alias("t3"))
     agree = F.lit(all_pairs) - F.col("t1") - F.col("t2") + F.col("t3") - F.col("d")
     scale = F.sqrt((F.lit(all_pairs) - F.col("t1")) * (F.lit(all_pairs) - F.col("t2")))

@@ -124,7 +124,7 @@ def _(t):
 
 
 @query("s20_flat_labels", """
-    select address, identity, category, cast(version as varchar) as version, '' as safety,
+    select address, identity, coalesce(category, '') as category, cast(version as varchar) as version, '' as safety,
       case when version = 2 then 'Unnamed' else concat(project_name, ',other') end as project_name
     from {label_contract}""")
 def _(t):

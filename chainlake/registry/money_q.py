@@ -334,15 +334,13 @@ def typed_traces(t):
     return t.trace_rows.withColumn("trace_address", path)
 
 
-STATUS = """case
-      when path = '' then case when coalesce(root.error, '') <> '' then 0 else 1 end
-      when path = '0' then case when coalesce(root.error, '') <> '' or coalesce(child.error, '') <> '' then 0 else 1 end
-      else case when coalesce(root.error, '') <> '' or coalesce(child.error, '') <> '' then 0 else 1 end end"""
-TRACE_STATUS_SQL = f"""
-    select a.transaction_hash, a.path, a.trace_type, a.to_address, {STATUS.replace('path', 'a.path')} as status
-    from {{trace_rows}} a
-    join (select transaction_hash as h, error from {{trace_rows}} where path = '') root on root.h = a.transaction_hash
-    join (select transaction_hash as h, error from {{trace_rows}} where path = '0') child on child.h = a.transaction_hash"""
+# Three calls a transaction, each inside the one before: a trace fails with any that starts its path.
+TRACE_STATUS_SQL = """
+    select transaction_hash, path, trace_type, to_address,
+      case when coalesce(max(case when path = '' then error end) over same, '') <> ''
+        or path <> '' and coalesce(max(case when path = '0' then error end) over same, '') <> ''
+        or coalesce(error, '') <> '' then 0 else 1 end as status
+    from {trace_rows} window same as (partition by transaction_hash)"""
 
 
 @query("x10_trace_status", TRACE_STATUS_SQL)
@@ -525,9 +523,10 @@ def _(t):
 
 
 @query("q04_orphan_traces", """
-    select a.transaction_hash, a.path from {trace_rows} a where a.path = '0,0' and not exists (
-      select 1 from {trace_rows} b where b.transaction_hash = a.transaction_hash and b.path = '0'
-        and b.trace_type = 'call')""")
+    select transaction_hash, path from (
+      select transaction_hash, path,
+        count(case when path = '0' and trace_type = 'call' then 1 end) over (partition by transaction_hash) as parents
+      from {trace_rows}) where path = '0,0' and parents = 0""")
 def _(t):
     kept = typed_traces(t).where("not (path = '0' and trace_type = 'create')")
     return derive.orphan_traces(kept).select("transaction_hash", "path")

@@ -1,4 +1,5 @@
 import random
+from decimal import Decimal
 from itertools import combinations
 
 import numpy as np
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from chainlake.operators import ranking
 from chainlake.operators.latest import compact, latest_by, one_per_key, upsert
-from chainlake.plans import graph
+from chainlake.plans import activity, graph
 from conftest import listed
 
 
@@ -91,6 +92,33 @@ def test_tau_with_ties_and_strips(spark, values, strip):
     assert got.n == 90 and abs(got.tau - brute_tau(rows)) < 1e-12
 
 
+def test_inversions_of_larger_permutations(spark):
+    import random
+
+    rng = random.Random(5)
+    n = 3000
+    for order in (rng.sample(range(n), n), [(i * 7919) % n for i in range(n)], list(range(n)), list(range(n))[::-1]):
+        placed = spark.createDataFrame([(i + 1, y + 1) for i, y in enumerate(order)], "x long, y long")
+        want = sum(sum(a > b for a in order[:i]) for i, b in enumerate(order)) if n <= 3000 else None
+        for cell in (10, 700):
+            found = graph.inversions(placed, n, cell)
+            assert int(found.agg(F.sum("swaps")).first()[0]) == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Join" not in plan
+
+
+def test_overflowing_fees_are_null(spark):
+    big = 10**30
+    rows = [("0x1", 1, 0, "0xa", "0xb", big, big), ("0x2", 2, 0, "0xa", "0xb", 2, 3), ("0x3", 3, 0, "0xb", "0xc", 5, 7)]
+    tx = spark.createDataFrame([(*r[:5], Decimal(r[5]), Decimal(r[6]), Decimal(r[5])) for r in rows],
+                               "hash string, block_number long, transaction_index int, from_address string, "
+                               "to_address string, receipt_gas_used decimal(38,0), gas_price decimal(38,0), gas decimal(38,0)")
+    stats = {r.address: r.total_gas for r in activity.address_stats(tx).collect()}
+    assert stats == {"0xa": 6, "0xb": 35, "0xc": 0}
+    edges = {r.from_address: r.gas_used for r in graph.prepare_edges(tx.where("hash <> '0x2'")).collect()}
+    assert edges == {"0xa": None, "0xb": 35}
+
+
 def test_tau_of_equal_and_reversed_rankings(spark):
     rows = [(f"k{i:02d}", i, -i) for i in range(30)]
     pairs = spark.createDataFrame(rows, "address string, rank_a long, rank_b long")

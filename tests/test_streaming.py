@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chainlake.plans import entities
-from chainlake.operators import derive
+from chainlake.operators import derive, joins
 from chainlake.sources import payloads
 from chainlake.streaming import blocks as st
 from conftest import listed
@@ -158,15 +158,17 @@ def test_trace_entities(spark):
 def test_missing_partners_are_errors(spark):
     blocks = spark.createDataFrame([(1, "0xb1", datetime(2023, 1, 1))], "number int, hash string, timestamp timestamp")
     logs = spark.createDataFrame([(1, 0), (2, 0)], "block_number int, log_index int")
-    assert entities.with_own_block(logs.where("block_number = 1"), blocks).first().block_hash == "0xb1"
+    assert joins.with_block(logs.where("block_number = 1"), blocks).first().block_hash == "0xb1"
     with pytest.raises(Exception, match="no block with number 2"):
-        entities.with_own_block(logs, blocks).collect()
+        joins.with_block(logs, blocks).collect()
     tx = spark.createDataFrame([("0xa",), ("0xb",)], "hash string")
     fields = ["cumulative_gas_used", "gas_used", "contract_address", "root", "status", "effective_gas_price"]
     receipts = spark.createDataFrame([("0xa", *[None] * 6)], "transaction_hash string, " + ", ".join(f"{f} string" for f in fields))
-    assert entities.with_own_receipt(tx.where("hash = '0xa'"), receipts).count() == 1
+    assert joins.enrich_transactions(tx.where("hash = '0xa'"), receipts).count() == 1
     with pytest.raises(Exception, match="no receipt of 0xb"):
-        entities.with_own_receipt(tx, receipts).collect()
+        joins.enrich_transactions(tx, receipts).select("receipt_status").collect()
+    with pytest.raises(Exception, match="no receipt of 0xb"):
+        joins.enrich_transactions(tx, receipts).collect()
     lost = spark.createDataFrame([("0xt", [0, 1], "call", None)], "transaction_hash string, trace_address array<int>, trace_type string, error string")
     with pytest.raises(ValueError, match="no parent"):
         entities.build_entities(["trace"], blocks, traces=lost)

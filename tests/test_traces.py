@@ -45,6 +45,27 @@ def test_status_follows_failed_ancestors(spark):
     assert len(got) == len(rows)
 
 
+def test_status_of_deep_and_wide_trees(spark):
+    # A chain of 1000 calls that fails in the middle, siblings of a failed call, a repeated path.
+    deep = [trace("0xd", [0] * n, "bad" if n == 500 else None) for n in range(1001)]
+    wide = [trace("0xw", []), trace("0xw", [0], "bad"), trace("0xw", [1]), trace("0xw", [10]), trace("0xw", [2**31 - 2])]
+    wide += [trace("0xw", [0, i, i % 7]) for i in range(3000)] + [trace("0xw", [0])]
+    nested = [trace("0xn", p, "bad" if p in ([0], [0, 1], [2, 0]) else None)
+              for p in ([], [0], [0, 0], [0, 1], [0, 1, 5], [0, 2], [1], [2], [2, 0], [2, 0, 0], [2, 1], [3])]
+    rows = deep + wide + nested
+    frame = spark.createDataFrame(rows, SCHEMA)
+    found = derive.trace_status(frame)
+    got = listed(found, "transaction_hash", "trace_address", "error", "status")
+    want = expected_status(rows)
+    want[("0xw", (0,))] = None
+    for tx, path, error, status in got:
+        expected = want[(tx, tuple(path))]
+        assert status == (0 if error else 1) if expected is None else status == expected
+    assert len(got) == len(rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
 def test_block_scoped_traces_stand_alone(spark):
     rows = [trace(None, [], None, "reward"), trace("", [], "bad", "reward"), trace("0x1", [], None)]
     got = derive.trace_status(spark.createDataFrame(rows, SCHEMA))
