@@ -8,6 +8,7 @@ from chainlake.plans import entities
 from chainlake.operators import derive, joins
 from chainlake.sources import payloads
 from chainlake.streaming import blocks as st
+from chainlake.streaming.pairing import pair_blocks
 from conftest import listed
 
 KIND = "number long, hash string"
@@ -84,18 +85,55 @@ def test_late_items_are_kept_and_repeats_dropped(spark, tmp_path, max_files):
     assert found() == [*range(80), 99]
 
 
-def test_records_wait_for_their_block(spark, tmp_path):
-    seen = []
-    step = st.with_blocks(lambda rows, at: seen.append(sorted((r.kind, r.number) for r in rows.collect())),
-                          str(tmp_path / "state"))
-    rows = lambda *r: spark.createDataFrame(list(r), "kind string, number string")
-    step(rows(("receipt", "1"), ("receipt", "2"), ("block", "2")), 0)
-    step(rows(("block", "3")), 1)
-    step(rows(("block", "1"), ("receipt", "3")), 2)
-    step(rows(("receipt", "1")), 3)
-    assert seen == [[("block", "2"), ("receipt", "2")], [("block", "3")],
-                    [("block", "1"), ("block", "3"), ("receipt", "1"), ("receipt", "3")],
-                    [("block", "1"), ("receipt", "1")]]
+PAIRS = "kind string, number string, value string"
+
+
+def paired(spark, src, out, check, keep_ms=3_600_000):
+    """Run the pairing over what has landed."""
+    stream = st.stream_blocks(spark, src, spark.createDataFrame([], PAIRS).schema, max_files=1)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        query = st.run_incremental(pair_blocks(stream, keep_ms=keep_ms), st.batch_sink(out), check)
+        assert query.awaitTermination(200)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    return query
+
+
+def test_records_meet_their_block_whenever_it_comes(spark, tmp_path):
+    src, out, check = (str(tmp_path / n) for n in ("src", "out", "check"))
+    batches = [[("receipt", "1", "a"), ("receipt", "2", "b"), ("block", "2", "B2")], [("block", "3", "B3")],
+               [("block", "1", "B1"), ("receipt", "3", "c"), ("block", "1", "again")], [("receipt", "1", "d")],
+               [("receipt", "9", "never"), ("receipt", None, "numberless")]]
+    want = [[("block", "2", "B2", True, True), ("receipt", "2", "b", True, True)], [("block", "3", "B3", True, True)],
+            [("block", "1", "B1", True, True), ("block", "3", "B3", True, False), ("receipt", "1", "a", True, True),
+             ("receipt", "3", "c", True, True)], [("block", "1", "B1", True, False), ("receipt", "1", "d", True, True)], []]
+    for part in (batches[:3], batches[3:]):
+        for rows in part:
+            spark.createDataFrame(rows, PAIRS).coalesce(1).write.mode("append").parquet(src)
+        # The second run goes on from the state in the checkpoint.
+        paired(spark, src, out, check)
+    folders = sorted(int(p.name[9:]) for p in (tmp_path / "out").iterdir())
+    got = [sorted(map(tuple, spark.read.parquet(f"{out}/batch_id={at}").collect())) for at in folders]
+    assert [rows for rows in got if rows] == want[:4]
+
+
+def test_state_stays_flat_and_what_never_pairs_comes_out(spark, tmp_path):
+    src, out, check = (str(tmp_path / n) for n in ("src", "out", "check"))
+    for n in range(20):
+        rows = [("block", str(5 * n + i), f"B{5 * n + i}") for i in range(4)]
+        rows += [("receipt", str(5 * n + i), f"r{5 * n + i}") for i in range(5)]  # one of five has no block
+        spark.createDataFrame(rows, PAIRS).coalesce(1).write.mode("append").parquet(src)
+    progress = paired(spark, src, out, check, keep_ms=1).recentProgress
+    held = [p.stateOperators[0].numRowsTotal for p in progress if p.numInputRows]
+    assert len(held) == 20 and max(held[3:]) <= max(held[:3])
+    for _ in range(2):
+        spark.createDataFrame([("block", "1000", "B")], PAIRS).coalesce(1).write.mode("append").parquet(src)
+    paired(spark, src, out, check, keep_ms=1)
+    rows = spark.read.parquet(out).collect()
+    assert sorted(int(r.number) for r in rows if r.kind == "receipt" and r.paired) == [n for n in range(100) if n % 5 < 4]
+    assert sorted(int(r.number) for r in rows if not r.paired) == list(range(4, 100, 5))
+    assert sorted(int(r.number) for r in rows if r.kind == "block" and r.new) == [n for n in range(100) if n % 5 < 4] + [1000]
 
 
 def test_each_batch_builds_its_entities(spark, tmp_path):
