@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 WIDTH = 64  # digits of a 256-bit word
 LIMB = 15  # hex digits per limb: 60 bits, always inside a BIGINT
@@ -62,27 +60,31 @@ def hex_dbl(col: Column) -> Column:
     return F.coalesce(hex_dec(col).cast("double"), F.when(_is_hex(col), total))
 
 
-PIECE = 7         # hex digits per step of the long conversion
-BASE = 10**9      # its decimal digits, nine at a time; a step stays inside a BIGINT
+PIECE = 7         # hex digits per step of the long conversion; a step stays inside a BIGINT
+BASE = 10**9      # nine decimal digits
 
 
-def _long_text(col: Column) -> Column:
-    """Decimal text of a whole word, piece by piece from its high end."""
-    digits = F.lpad(_word(col), 70, "0")
+def _long_division(digits: Column, base: int, count: int) -> Column:
+    """`count` limbs to the given base, high one first, of 70 hex digits read from their high end."""
     pieces = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.conv(
         F.substring(digits, i * PIECE + 1, F.lit(PIECE)), 16, 10).cast("bigint"))
 
     def step(number: Column, piece: Column) -> Column:
         def carry(state: Column, digit: Column) -> Column:
             value = digit * F.lit(16**PIECE) + state["carry"]
-            return F.struct(F.call_function("div", value, F.lit(BASE).cast("bigint")).alias("carry"),
-                            F.concat(state["out"], F.array(value % BASE)).alias("out"))
+            return F.struct(F.call_function("div", value, F.lit(base).cast("bigint")).alias("carry"),
+                            F.concat(state["out"], F.array(value % base)).alias("out"))
 
         start = F.struct(piece.alias("carry"), F.array().cast("array<bigint>").alias("out"))
         return F.aggregate(number, start, carry)["out"]
 
-    number = F.aggregate(pieces, F.array_repeat(F.lit(0).cast("bigint"), 9), step)
-    text = F.array_join(F.transform(F.reverse(number), lambda d: F.lpad(d.cast("string"), 9, "0")), "")
+    return F.reverse(F.aggregate(pieces, F.array_repeat(F.lit(0).cast("bigint"), count), step))
+
+
+def _long_text(col: Column) -> Column:
+    """Decimal text of a whole word, piece by piece from its high end."""
+    limbs = _long_division(F.lpad(_word(col), 70, "0"), BASE, 9)
+    text = F.array_join(F.transform(limbs, lambda d: F.lpad(d.cast("string"), 9, "0")), "")
     return F.ltrim(text, F.lit("0"))
 
 
@@ -133,21 +135,17 @@ def item(array: Column, index: int) -> Column:
 ALPHABET58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"  # fixed value
 
 
-def _content_id(value):
-    if value is None:
-        return None
-    try:
-        raw = bytes.fromhex("1220" + value[2:])
-    except ValueError:
-        return None
-    number, out = int.from_bytes(raw, "big"), []
-    while number:
-        number, digit = divmod(number, 58)
-        out.append(ALPHABET58[digit])
-    return "".join(reversed(out))
-
-
-@F.pandas_udf(T.StringType())
-def base58(col: pd.Series) -> pd.Series:
-    """32-byte hex digest to its base58 content id (sha2-256 multihash)."""
-    return col.map(_content_id)
+BASE58 = 58**5  # five characters of a content id
+
+
+def base58(col: Column | str) -> Column:
+    """Hex digest of up to 32 bytes to its base-58 content id (sha2-256 multihash); NULL for any other text."""
+    col = F.col(col) if isinstance(col, str) else col
+    good = (F.length(col) <= WIDTH + 2) & (F.length(col) % 2 == 0) & col.rlike("^0x[0-9a-fA-F]*$")
+    limbs = _long_division(F.lpad(F.concat(F.lit("1220"), F.substring(col, 3, WIDTH)), 70, "0"), BASE58, 10)
+
+    def letters(limb: Column) -> Column:
+        at = lambda k: F.call_function("div", limb, F.lit(58**k).cast("bigint")) % 58 + 1
+        return F.concat(*[F.substring(F.lit(ALPHABET58), at(k).cast("int"), F.lit(1)) for k in range(4, -1, -1)])
+
+    return F.when(good, F.ltrim(F.array_join(F.transform(limbs, letters), ""), F.lit(ALPHABET58[0])))

@@ -297,13 +297,24 @@ def _(t):
                         "option1")
 
 
-@query("u03_content_id", """
-    select concat('0x', sha256(cast(p_partkey as varchar))) as digest, 46 as length, 'Qm' as head from part""")
+# Long division by 58^5, seven hex digits at a time; limbs are low first, behind the carry.
+_LETTERS = " || ".join(f"substr('{hexes.ALPHABET58}', CAST(l // {58**k} % 58 + 1 AS INTEGER), 1)" for k in range(4, -1, -1))
+CONTENT_ID_SQL = f"""
+    with digests as (select sha256(cast(p_partkey as varchar)) as d from part),
+    pieces as (select d, list_transform(range(0, 10), lambda i:
+      [cast('0x' || substr(lpad('1220' || d, 70, '0'), cast(7 * i + 1 as integer), 7) as bigint)]) as p from digests),
+    limbs as (select d, list_reduce(list_concat([[0, 0, 0, 0, 0, 0, 0, 0, 0, 0]], p), lambda n, x:
+      list_reduce(list_concat([[x[1]]], list_transform(n, lambda l: [l])), lambda s, l: list_concat(
+        [(l[1] * {16**7} + s[1]) // {58**5}], s[2:], [(l[1] * {16**7} + s[1]) % {58**5}]))[2:]) as n from pieces)
+    select concat('0x', d) as digest,
+      ltrim(array_to_string(list_transform(list_reverse(n), lambda l: {_LETTERS}), ''), '1') as code from limbs"""
+
+
+@query("u03_content_id", CONTENT_ID_SQL)
 def _(t):
     digest = F.concat(F.lit("0x"), F.sha2(F.col("p_partkey").cast("string"), 256))
     code = hexes.base58("digest")
-    return t.part.select(digest.alias("digest")).withColumn("code", code).select(
-        "digest", F.length("code").alias("length"), F.left("code", F.lit(2)).alias("head"))
+    return t.part.select(digest.alias("digest")).withColumn("code", code)
 
 
 # --- guards ------------------------------------------------------------------

@@ -237,7 +237,7 @@ TREE_SQL = """
 
 @query("x09_flatten_call_tree", TREE_SQL)
 def _(t):
-    found = payloads.flatten_call_tree(payloads.parse_call_tracer(call_trees(t)))
+    found = payloads.flatten_call_tree(call_trees(t))
     return found.select(
         "block_number", "transaction_index", "from_address", "to_address",
         F.array_join(F.col("trace_address").cast("array<string>"), ",").alias("path"), "trace_type",

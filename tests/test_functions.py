@@ -1,3 +1,5 @@
+import random
+import re
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -41,29 +43,55 @@ def test_words_and_addresses(spark):
     assert got == ["0x" + "ab" * 20, "0xabc", None]
 
 
-def _decode58(text):
+def _decode58(text, size=34):
     number = 0
     for c in text:
         number = number * 58 + hexes.ALPHABET58.index(c)
-    return number.to_bytes(34, "big").hex()
+    return number.to_bytes(size, "big").hex()
 
 
 def test_content_id_round_trip(spark):
     digests = ["0x" + format(v, "064x") for v in (1, 2**200 + 9, 2**256 - 1)]
     for digest, text in zip(digests, column(spark, hexes.base58, digests)):
         assert text.startswith("Qm") and _decode58(text) == "1220" + digest[2:]
-    assert column(spark, hexes.base58, ["0xzz", None]) == [None, None]
-
-
-def test_selectors_stop_at_the_first_jump_target():
+    assert column(spark, hexes.base58, ["0xzz", None, "0x1", "0x" + "0" * 66]) == [None] * 4
+    short = column(spark, hexes.base58, ["0x", "0x00ff"])
+    assert [_decode58(t, n) for t, n in zip(short, (2, 4))] == ["1220", "122000ff"]
+    plan = spark.range(1).select(hexes.base58(F.lit("0x00")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
+def plain_selectors(text):
+    """A walk over one code, instruction by instruction."""
+    text = re.sub("^(0x)+", "", text or "")
+    if len(text) % 2 or re.search("[^0-9a-fA-F]", text):
+        return []
+    code, found, at = bytes.fromhex(text), set(), 0
+    while at < len(code) and not (code[at] == 0x5B and at):
+        if code[at] == 0x63 and at + 4 < len(code):
+            found.add("0x" + code[at + 1:at + 5].hex())
+        at += 1 + (code[at] - 0x5F if 0x60 <= code[at] <= 0x7F else 0)
+    return sorted(found)
+
+
+def test_selectors_of_many_codes(spark):
+    rng = random.Random(2)
+    ops = ["00", "5b", "63", "60", "7f", "14", "64", "80"]
+    codes = ["0x" + "".join(rng.choices(ops, [9, 1, 9, 3, 1, 9, 2, 9], k=rng.randint(0, 200))) for _ in range(400)]
+    codes += ["0x" + "63aabbccdd" * 4000 + "5b" + "6311223344", "0x" + "00" * 70_000 + "6311223344", "0x63", "0x6", None]
+    codes += ["0x" + "".join(rng.choices("0123456789abcdef", k=2 * rng.randint(0, 30_000))) for _ in range(20)]
+    assert column(spark, bytecode.sighashes, codes) == [plain_selectors(c) for c in codes]
+
+
+def test_selectors_stop_at_the_first_jump_target(spark):
     push4 = lambda s: "63" + s
+    selectors = lambda *codes: column(spark, bytecode.sighashes, codes)
     code = "0x0x6080604052" + push4("70a08231") + "14" + "57" + push4("18160ddd") + "5b" + push4("deadbeef")
-    assert bytecode.entry_selectors(code) == ["0x18160ddd", "0x70a08231"]
     # The operand of a longer push is data, whatever its bytes say.
-    assert bytecode.entry_selectors("0x" + "65" + "63aabbccdd5b" + push4("01020304")) == ["0x01020304"]
-    assert bytecode.entry_selectors("0x63aabb") == []
-    assert bytecode.entry_selectors("0x5b63aabbccdd5b") == ["0xaabbccdd"]
-    assert [bytecode.entry_selectors(c) for c in (None, "0x", "", "0xzz", "0x" + "00" * 20)] == [[]] * 5
+    longer = "0x" + "65" + "63aabbccdd5b" + push4("01020304")
+    assert selectors(code, longer, "0x63aabb", "0x5b63aabbccdd5b") == [
+        ["0x18160ddd", "0x70a08231"], ["0x01020304"], [], ["0xaabbccdd"]]
+    assert selectors(None, "0x", "", "0xzz", "0x" + "00" * 20) == [[]] * 5
 
 
 def test_interface_flags(spark):

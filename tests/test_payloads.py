@@ -88,7 +88,7 @@ def test_call_trees_of_any_shape(spark):
         node = child
     flat = {"type": "CALL", "from": "0xC", "to": "0xD", "error": "out of gas"}
     raw = lines(spark, {"block_number": 5, "transaction_traces": [deep, flat]})
-    got = payloads.flatten_call_tree(payloads.parse_call_tracer(raw))
+    got = payloads.flatten_call_tree(raw)
     want = []
     _walk(deep, [], want)
     rows = listed(got.where("transaction_index = 0"), "trace_address", "subtraces", "from_address")
@@ -105,9 +105,9 @@ def test_too_deep_a_tree_is_an_error(spark):
     for _ in range(3):
         node["calls"] = [{"type": "CALL", "from": "0x1"}]
         node = node["calls"][0]
-    raw = payloads.parse_call_tracer(lines(spark, {"block_number": 1, "transaction_traces": [tree]}))
-    with pytest.raises(ValueError):
-        payloads.flatten_call_tree(raw, max_depth=2)
+    raw = lines(spark, {"block_number": 1, "transaction_traces": [tree]})
+    with pytest.raises(Exception, match="deeper than 2"):
+        payloads.flatten_call_tree(raw, max_depth=2).collect()
     assert payloads.flatten_call_tree(raw, max_depth=3).count() == 4
 
 
@@ -239,3 +239,19 @@ def test_token_metadata_prefers_the_first_usable_result(spark):
     assert (got["0xa"].symbol, got["0xa"].name, int(got["0xa"].decimals)) == ("UP", "name", 300)
     assert (got["0xb"].symbol, got["0xb"].decimals) == ("alt", None)
     assert got["0xc"].symbol is None
+
+
+def test_a_thousand_levels_in_one_pass(spark):
+    node = {"type": "CALL", "from": "0xA1000", "to": "0xB", "input": 'with "quotes" } and {'}
+    for n in range(999, -1, -1):
+        node = {"type": "CALL", "from": f"0xA{n}", "to": "0xB", "calls": [{"type": "CREATE", "from": "0xF"}, node]}
+    raw = lines(spark, {"block_number": 1, "transaction_traces": [node, "no call", None, {"type": "CALL", "calls": None}]})
+    found = payloads.flatten_call_tree(raw)
+    group, tracker = "one pass", spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(group, group)
+    rows = found.collect()
+    assert len(tracker.getJobIdsForGroup(group)) <= 2
+    tree = {tuple(r.trace_address): r for r in rows if r.transaction_index == 0}
+    assert len(tree) == 2001 and len(rows) == 2004
+    assert all(tree[(1,) * n].from_address == f"0xa{n}" and tree[(1,) * n].subtraces == 2 for n in range(1000))
+    assert tree[(1,) * 1000].input == 'with "quotes" } and {'
