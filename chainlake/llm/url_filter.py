@@ -1,17 +1,15 @@
-"""URL filters (operator 3): listed rules first, then mined association rules. Columns only."""
+"""URL filters (operator 3): listed rules first, then association rules that FP-growth mines. JVM only."""
 
 from __future__ import annotations
 
 import json
-import math
-import zlib
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chainlake.session import settle, small
+from chainlake.session import settle
 
-# Words in a host or path that mark a page as unwanted where no list decides.
+# Words in a host or path that label a page as unwanted, to learn from, where no list decides.
 SEED_WORDS = ["casino", "pills", "porn", "spam", "viagra", "warez", "xxx"]
 VERDICTS = ["allow", "block"]
 
@@ -65,118 +63,117 @@ def tokens_of(host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(*tagged, site))
 
 
-def _combinations(tokens: Column, n: int) -> Column:
-    """Every combination of `n` tokens of a sorted array, as arrays."""
-    if n == 1:
-        return F.transform(tokens, lambda t: F.array(t))
-    rest = lambda i: F.slice(tokens, i + 2, F.size(tokens))
-    return F.flatten(F.transform(tokens, lambda t, i: F.transform(
-        _combinations(rest(i), n - 1), lambda c: F.concat(F.array(t), c))))
-
-
 def seeded(tokens: Column, seeds: list[str]) -> Column:
     """Whether a seed word is among the words of a url."""
     return F.arrays_overlap(tokens, F.array(*[F.lit(f"word:{w}") for w in seeds]).cast("array<string>"))
 
 
-def mine(urls: DataFrame, rules: list[tuple[str, str, str]], least_support: float = 0.0, least_rows: int = 20,
-         least_confidence: float = 0.9, longest: int = 3, open_only: bool = False) -> list[tuple]:
-    """Rules (tokens, verdict) in order of confidence, support and length, from labelled urls.
+def labelled(urls: DataFrame, rules: list[tuple[str, str, str]], seeds: list[str]) -> DataFrame:
+    """tokens, label, n: the token sets of all distinct urls, without the seed words.
 
-    Labels are the verdicts of the listed rules and, where none decides, block for seed words; urls
-    without label count too, so a confidence is the labelled share of all urls with those tokens.
-    A rule holds for `least_rows` labelled urls, whatever the number of others (`least_support`, a share of
-    all urls, is for callers who want fewer). All urls count: equal token sets become one row with
-    their number, and combinations are counted size by size up to `longest`, without tokens that cannot be
-    part of a longer rule. A rule that a shorter or surer part of it makes needless goes.
-    `open_only` leaves out rules that fit listed urls alone, which change no verdict of this table.
+    A label is the listed rules' verdict or, where none decides, block for a seed word; else null. A url
+    counts once, however many rows repeat it.
     """
-    host, path = host_of(F.col("url")), path_of(F.col("url"))
-    split = urls.where("url is not null").select(host.alias("host"), path.alias("path"))
+    split = urls.where("url is not null").select(
+        host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).distinct()
     best = listed(F.col("host"), F.col("path"), rules)["verdict"]
-    sets = split.select(F.array_sort(tokens_of(F.col("host"), F.col("path"))).alias("tokens"), best.alias("best")) \
-        .select("tokens", F.coalesce("best", F.when(seeded(F.col("tokens"), SEED_WORDS), "block")).alias("label"),
-                F.col("best").isNull().alias("open")) \
-        .groupBy("tokens", "label", "open").agg(F.count("*").alias("n"))
-    sets = settle(sets)
-    total = sets.agg(F.sum("n")).first()[0] or 0
-    floor = max(1, least_rows, math.ceil(least_support * total))
-    rows: list = []
-    for size in range(1, longest + 1):
-        each = [F.sum(F.when(F.col("label") == v, F.col("n"))).alias(v) for v in VERDICTS]
-        counted = sets.select(F.explode(_combinations(F.col("tokens"), size)).alias("a"), "label", "open", "n") \
-            .groupBy("a").agg(F.sum("n").alias("n"), F.max("open").alias("open"), *each)
-        counted = counted.where(F.greatest(*[F.coalesce(v, F.lit(0)) for v in VERDICTS]) >= floor)
-        if open_only:
-            counted = counted.where("open")
-        counted = settle(counted)
-        pairs = F.array(*[F.struct(F.lit(v).alias("v"), F.col(v).alias("support")) for v in VERDICTS])
-        rows += counted.select("a", "n", F.explode(pairs).alias("p")).select(
-            "a", "p.v", "p.support", (F.col("p.support") / F.col("n")).alias("confidence")) \
-            .where((F.col("support") >= floor) & (F.col("confidence") >= least_confidence)).collect()
-        if size == longest:
-            break
-        # What is sure without exception makes all that holds it needless; the rest may grow.
-        grows = counted.where(F.greatest(*[F.coalesce(v, F.lit(0)) for v in VERDICTS]) < F.col("n"))
-        grows = small(settle(grows.select(F.explode("a").alias("token")).distinct()))
-        numbered = settle(sets.withColumn("k", F.monotonically_increasing_id()))
-        left = numbered.select("k", "label", "open", "n", F.explode("tokens").alias("token")).join(grows, "token") \
-            .groupBy("k", "label", "open", "n").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
-        sets = settle(left.where(F.size("tokens") > size).groupBy("tokens", "label", "open").agg(F.sum("n").alias("n")))
-    rows.sort(key=lambda r: (-r.confidence, len(r.a), -r.support, r.a))
-    kept: list[tuple] = []
-    by_token: dict[str, list[set]] = {}
-    for r in rows:
-        whole = set(r.a)
-        if any(k <= whole for t in r.a for k in by_token.get(t, [])):
-            continue
-        kept.append((r.a, r.v))
-        by_token.setdefault(r.a[0], []).append(whole)
-    return kept
-
-
-def matched(tokens: Column, mined: list[tuple]) -> Column:
-    """Verdict of the first mined rule all of whose tokens are there, by an inverted index; or null.
-
-    The index lists, per token, the rules that have it; a rule matches when it is listed as often
-    as it has tokens.
+    marked = split.select(tokens_of(F.col("host"), F.col("path")).alias("all"), best.alias("best"))
+    label = F.coalesce("best", F.when(seeded(F.col("all"), seeds), "block"))
+    return marked.select(_unseeded(F.col("all"), seeds).alias("tokens"), label.alias("label")) \
+        .groupBy("tokens", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _unseeded(tokens: Column, seeds: list[str]) -> Column:
+    """Tokens in order, without the words that made labels."""
+    return F.array_sort(F.array_except(tokens, F.array(*[F.lit(f"word:{w}") for w in seeds]).cast("array<string>")))
+
+
+def mine(urls: DataFrame, rules: list[tuple[str, str, str]], seeds: list[str] | None = None, least_rows: int = 2,
+         least_confidence: float = 0.9) -> DataFrame:
+    """parts, verdict, confidence, support, key: rules `all parts in a url -> verdict`, as a table.
+
+    FP-growth (pyspark.ml.fpm) runs over the token sets of all distinct urls, the label of a url as one more
+    item. A rule has support (urls with its parts and its label) of at least `least_rows`, a number and no
+    share, so it does not come and go with the size of the table, and a confidence (support by all urls with
+    its parts, labelled or not) of at least `least_confidence`. `key` is its rarest part.
+
+    Two kinds of token never reach FP-growth, and no verdict changes for it: tokens in too few urls of a
+    label, and of tokens found in exactly the same urls all but one, so long urls that repeat each other stay
+    one item. A token whose urls all have one label is a rule as it stands, and what holds it needs no other.
+    No labels give no rules.
+    """
+    from pyspark.ml.fpm import FPGrowth
+
+    seeds = SEED_WORDS if seeds is None else seeds
+    sets = settle(labelled(urls, rules, seeds).withColumn("set", F.monotonically_increasing_id()))
+    each = [F.sum(F.when(F.col("label") == v, F.col("n")).otherwise(0)).alias(v) for v in VERDICTS]
+    hashed = [F.bit_xor(F.xxhash64("set", F.lit(k))).alias(f"h{k}") for k in range(2)]
+    tokens = settle(sets.select("set", "label", "n", F.explode("tokens").alias("token"))
+                    .groupBy("token").agg(F.sum("n").alias("n"), *each, *hashed))
+    most = F.greatest(*VERDICTS)
+    usable = tokens.where(most >= least_rows)
+    verdict = F.when(F.col("block") >= F.col("allow"), "block").otherwise("allow")
+    single = usable.where(most >= least_confidence * F.col("n")).select(
+        F.array("token").alias("parts"), verdict.alias("verdict"), (most / F.col("n")).alias("confidence"),
+        most.alias("support"))
+    items = settle(usable.where(most < F.col("n")).groupBy("n", *VERDICTS, "h0", "h1").agg(F.min("token").alias("token"))
+                   .select("token", F.col("n").alias("urls")))
+    kept = sets.select("set", F.explode("tokens").alias("token")).join(items.select("token"), "token") \
+        .groupBy("set").agg(F.collect_list("token").alias("items"))
+    label = F.when(F.col("label").isNotNull(), F.array(F.concat(F.lit("="), "label"))).otherwise(F.array().cast("array<string>"))
+    baskets = settle(sets.join(kept, "set").select(
+        F.concat("items", label).alias("items"), F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select("items"))
+    total = baskets.count()
+    found = single
+    if total:
+        parts = int(baskets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        model = FPGrowth(itemsCol="items", minSupport=min(1.0, (least_rows - 0.5) / total),
+                         minConfidence=least_confidence, numPartitions=parts).fit(baskets)
+        got = model.associationRules.where(
+            F.get("consequent", F.lit(0)).isin([f"={v}" for v in VERDICTS]) & (F.size("antecedent") > 1))
+        found = single.unionByName(got.select(
+            F.array_sort("antecedent").alias("parts"), F.substring(F.get("consequent", F.lit(0)), 2, 9).alias("verdict"),
+            "confidence", F.round(F.col("support") * total).cast("long").alias("support")))
+    named = settle(found.withColumn("rule", F.monotonically_increasing_id()))
+    rarest = named.select("rule", F.explode("parts").alias("token")).join(tokens.select("token", "n"), "token") \
+        .groupBy("rule").agg(F.min(F.struct("n", "token"))["token"].alias("key"))
+    return settle(named.join(rarest, "rule").drop("rule"))
+
+
+def matched(urls: DataFrame, mined: DataFrame) -> DataFrame:
+    """host, path, learned: verdict of the surest mined rule all of whose parts are in the url, where one is.
+
+    `urls` has distinct (host, path, tokens). The rules are an inverted index by their rarest part: a url
+    meets those listed under one of its tokens and is then held against their other parts. Of rules of
+    one confidence the shortest counts, then the one of most support, then the first in order of its parts.
     """
-    if not mined:
-        return F.lit(None).cast("string")
-    index: dict[str, list[int]] = {}
-    for i, (parts, _) in enumerate(mined):
-        for t in parts:
-            index.setdefault(t, []).append(i)
-    # A map is searched key by key, so tokens lie in an array by checksum.
-    slots: list[list] = [[] for _ in index]
-    for t, which in index.items():
-        slots[zlib.crc32(t.encode()) % len(slots)].append({"t": t, "r": which})
-    table = F.from_json(F.lit(json.dumps(slots)), "array<array<struct<t:string,r:array<int>>>>")
-    lists = F.transform(tokens, lambda t: F.flatten(F.transform(
-        F.filter(F.get(table, (F.crc32(F.encode(t, "UTF-8")) % len(slots)).cast("int")), lambda e: e["t"] == t),
-        lambda e: e["r"])))
-    needs = F.from_json(F.lit(json.dumps([len(p) for p, _ in mined])), "array<int>")
-    verdicts = F.from_json(F.lit(json.dumps([v for _, v in mined])), "array<string>")
-    hits = F.flatten(lists)
-    whole = F.filter(F.array_distinct(hits), lambda i: F.size(F.filter(hits, lambda j: j == i)) == F.get(needs, i))
-    return F.get(verdicts, F.array_min(whole))
-
-
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]], mined: list[tuple],
+    met = urls.select("host", "path", F.explode("tokens").alias("key")).join(mined, "key").drop("key")
+    whole = met.join(urls, ["host", "path"]).where(F.size(F.array_except("parts", "tokens")) == 0)
+    order = F.struct((-F.col("confidence")).alias("c"), F.size("parts").alias("z"), (-F.col("support")).alias("s"),
+                     "parts", "verdict")
+    return whole.groupBy("host", "path").agg(F.min(order)["verdict"].alias("learned"))
+
+
+def judge(pages: DataFrame, rules: list[tuple[str, str, str]], mined: DataFrame | None = None,
           id_col: str = "page_id", url_col: str = "url", seeds: list[str] | None = None) -> DataFrame:
-    """page_id, host, path, rule, verdict, basis of every url; one projection, no shuffle.
+    """page_id, host, path, rule, verdict, basis of every url.
 
-    The longest listed rule decides; else block if one of `seeds` is among the words; else the first mined
-    rule that matches; else allow. `basis` says which (list, seed, mined, default). A null url, or one without ://, has empty host and path. Rows come out
-    as often as they come in; extra columns are ignored.
+    The longest listed rule decides; else the mined rule that `matched` finds; else allow. `basis` says which
+    (list, mined, default). Only distinct urls that no list decides meet the mined rules, so a url on a third
+    of all rows is matched once. A null url, or one without ://, has empty host and path. Rows come out
+    as often as they come in; an empty table gives no rows; extra columns are ignored, whatever their names.
     """
-    picked = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
-    split = picked.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    host, path = F.col("host"), F.col("path")
-    both = split.select("page_id", "host", "path", listed(host, path, rules).alias("best"),
-                        seeded(tokens_of(host, path), seeds or []).alias("seeded"),
-                        matched(tokens_of(host, path), mined).alias("learned"))
-    basis = F.when(F.col("best").isNotNull(), "list").when(F.col("seeded"), "seed") \
-        .when(F.col("learned").isNotNull(), "mined").otherwise("default")
-    return both.select("page_id", "host", "path", F.col("best.rule").alias("rule"),
-                       F.coalesce("best.verdict", F.when(F.col("seeded"), "block"), "learned", F.lit("allow")).alias("verdict"), basis.alias("basis"))
+    seeds = SEED_WORDS if seeds is None else seeds
+    picked = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"),
+                          path_of(F.col(url_col)).alias("path"))
+    best = picked.withColumn("best", listed(F.col("host"), F.col("path"), rules))
+    if mined is None:
+        known = best.withColumn("learned", F.lit(None).cast("string"))
+    else:
+        open_ = best.where("best is null").select("host", "path").distinct() \
+            .withColumn("tokens", _unseeded(tokens_of(F.col("host"), F.col("path")), seeds))
+        known = best.join(settle(matched(settle(open_), mined)), ["host", "path"], "left")
+    learned = F.when(F.col("best").isNull(), F.col("learned"))
+    basis = F.when(F.col("best").isNotNull(), "list").when(learned.isNotNull(), "mined").otherwise("default")
+    return known.select("page_id", "host", "path", F.col("best.rule").alias("rule"),
+                        F.coalesce("best.verdict", learned, F.lit("allow")).alias("verdict"), basis.alias("basis"))
