@@ -93,6 +93,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return store.exists(place)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    store, place = _place(spark, path)
+    return sorted(s.getPath().getName() for s in store.listStatus(place)) if store.exists(place) else []
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     store, place = _place(spark, path)
     store.delete(place, True)

@@ -1,4 +1,6 @@
 import json
+import os
+import shutil
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,6 +11,7 @@ from chainlake.operators import derive, joins
 from chainlake.sources import payloads
 from chainlake.streaming import blocks as st
 from chainlake.streaming.pairing import pair_blocks
+from chainlake.streaming.runs import complete_runs, read_runs, run_sink
 from conftest import listed
 
 KIND = "number long, hash string"
@@ -76,7 +79,7 @@ def test_late_items_are_kept_and_repeats_dropped(spark, tmp_path, max_files):
     sink = st.unique_sink(out, ["item_id"])
     rows = stream.withColumn("day", F.to_date("block_timestamp"))
     st.run_incremental(rows, sink, str(tmp_path / "c")).awaitTermination()
-    found = lambda: sorted(int(r.item_id[1:]) for r in spark.read.parquet(out).collect())
+    found = lambda: sorted(int(r.item_id[1:]) for r in read_runs(spark, out, rows.schema).collect())
     assert found() == list(range(80))
     # A batch that runs twice replaces itself.
     last = spark.createDataFrame([("i3", t0), ("i99", t0), ("i99", t0)], kind).withColumn("day", F.to_date("block_timestamp"))
@@ -85,6 +88,27 @@ def test_late_items_are_kept_and_repeats_dropped(spark, tmp_path, max_files):
     assert found() == [*range(80), 99]
 
 
+def test_stored_runs_stay_few(spark, tmp_path):
+    """Fifty batches of partial sums, some of them tried twice, some dying before they tidy up."""
+    path = str(tmp_path / "sums")
+    add = lambda rows: rows.groupBy("k").agg(F.sum("n").alias("n"))
+    sink, files = run_sink(path, merge=add), []
+    schema = "k long, n long"
+    for at in range(50):
+        if at % 7 == 3:
+            sink(spark.createDataFrame([(999, 999)], schema).coalesce(1), at)  # a try that is repeated
+        sink(spark.createDataFrame([(at % 5, at), (5, 1)], schema).coalesce(1), at)
+        if at == 20:
+            # A merged run is there, and a part of it has not been deleted yet; another was cut off.
+            shutil.copytree(f"{path}/run-20-20", f"{path}/run-2-2")
+            shutil.copytree(f"{path}/run-20-20", f"{path}/run-0-40")
+            os.remove(f"{path}/run-0-40/_SUCCESS")
+        files.append(len(list((tmp_path / "sums").glob("run-*/part-*"))))
+    assert max(files[25:]) <= 10 and len(complete_runs(spark, path)) <= 7
+    got = dict(map(tuple, add(read_runs(spark, path, spark.createDataFrame([], schema).schema)).collect()))
+    assert got == {k: sum(range(k, 50, 5)) for k in range(5)} | {5: 50}
+
+
 PAIRS = "kind string, number string, value string"
 
 
