@@ -1,4 +1,4 @@
-"""The corpus pipeline: documents in, packed training sequences out.
+"""The corpus run: documents in, packed training sequences out.
 
 Each stage works on all rows its predecessor kept. What a stage returns is written as Parquet and
 read again as the next one's documents, so a lost executor never costs more than one stage.
