@@ -391,6 +391,29 @@ def _(t):
     return rows.distinct_field(t.token_transfers, "token_address")
 
 
+ENTITY_VIEWS = {"block": "blocks", "transaction": "transactions", "receipt": "receipts", "log": "log_rows",
+                "token_transfer": "token_transfers", "trace": "trace_rows", "contract": "contracts", "token": "tokens"}
+
+
+@query("p05_entity_closure", """
+    with counts as (""" + " union all ".join(
+        f"select '{kind}' as kind, count(*) as n from {{{view}}}" for kind, view in ENTITY_VIEWS.items()) + """),
+    needs as (select * from (values ('token', 'contract'), ('contract', 'trace'), ('token_transfer', 'log'),
+      ('token_transfer', 'receipt'), ('log', 'transaction')) as v(kind, also)),
+    first as (select kind as wanted, kind from counts union select kind, 'block' from counts
+      union select 'transaction', 'receipt'),
+    reach as (with recursive r as (
+      select * from first union select r.wanted, n.also from r join needs n on r.kind = n.kind) select * from r)
+    select wanted, kind, n from reach join counts using (kind)""")
+def _(t):
+    counts = None
+    for kind, view in ENTITY_VIEWS.items():
+        one = getattr(t, view).agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n"))
+        counts = one if counts is None else counts.unionByName(one)
+    pairs = [(wanted, kind) for wanted in rows.NEEDS for kind in sorted(rows.entity_closure([wanted]))]
+    return t.spark.createDataFrame(pairs, "wanted string, kind string").join(counts, "kind").select("wanted", "kind", "n")
+
+
 NO_BURN = "('0x0000000000000000000000000000000000000000', '0x000000000000000000000000000000000000dead')"
 
 
