@@ -42,6 +42,17 @@ def _by_day(df: DataFrame, quotes: DataFrame, day: Column, out: str, keep) -> Da
         .drop("_quotes", "_quote", "_day")
 
 
+def _quotes_by_day(prices: DataFrame, basis: str, out: str) -> DataFrame:
+    """_id, _end, `out`, _day of each quote, once for every calendar day its interval touches."""
+    end = F.col("timestamp")
+    return prices.select(
+        F.col("id").alias("_id"), end.alias("_end"), basis_price(basis).alias(out),
+        F.explode(F.array_distinct(F.array(
+            F.floor((end - DAY) / DAY).cast("bigint"), F.floor(end / DAY).cast("bigint")
+        ))).alias("_day"),
+    )
+
+
 def with_interval_price(
     df: DataFrame, prices: DataFrame, id_col: str | int, ts: str = "block_timestamp",
     basis: str = "open", out: str = "price",
@@ -56,13 +67,7 @@ def with_interval_price(
     quotes = prices
     if isinstance(id_col, int):
         quotes = quotes.where(F.col("id") == id_col)
-    end = F.col("timestamp")
-    quotes = quotes.select(
-        F.col("id").alias("_id"), end.alias("_end"), basis_price(basis).alias(out),
-        F.explode(F.array_distinct(F.array(
-            F.floor((end - DAY) / DAY).cast("bigint"), F.floor(end / DAY).cast("bigint")
-        ))).alias("_day"),
-    )
+    quotes = _quotes_by_day(quotes, basis, out)
     seconds = _seconds(ts)
     day = F.floor(seconds / DAY).cast("bigint")
     if isinstance(id_col, int):
@@ -113,6 +118,41 @@ def with_price_id(df: DataFrame, ids: DataFrame, chain: str) -> DataFrame:
     return df.join(known, "token_address", "left")
 
 
+def token_quotes(tokens: DataFrame, ids: DataFrame, prices: DataFrame, chain: str) -> DataFrame:
+    """token_address, _day, decimals, _quotes: all that prices a token on a day, one row for both.
+
+    Decimals are known by the folded address (of rows that repeat it, the least), price ids by the address as
+    written. Only tokens with a quote have rows; without one there is no volume, whatever the decimals.
+    """
+    known = one_price_id(ids, chain).select(F.col("address").alias("token_address"), F.col("id").alias("_id"))
+    scale = tokens.groupBy(F.lower("address").alias("_token")).agg(F.min("decimals").alias("decimals"))
+    scaled = known.join(scale, F.lower("token_address") == F.col("_token"), "left").drop("_token")
+    quoted = scaled.join(_quotes_by_day(prices, "open", "price"), "_id")
+    return quoted.groupBy("token_address", "_day", "decimals").agg(
+        F.collect_list(F.struct("_end", "price")).alias("_quotes"))
+
+
+def with_token_price(df: DataFrame, quotes: DataFrame, ts: str, spread: int = 16, rows: int = 200_000) -> DataFrame:
+    """Left join on `token_quotes`: adds decimals and price of the quote that strictly contains `ts`.
+
+    The dimension goes to every task if it is counted to have at most `rows` rows. Beyond that each of its rows
+    is repeated `spread` times and the rows of a token and day are dealt over as many places, so the day of
+    a token everybody moves is not one task's work. A row with no quote stays once, with nulls.
+    """
+    seconds = _seconds(ts)
+    day = F.floor(seconds / DAY).cast("bigint")
+    if quotes.limit(rows + 1).count() <= rows:
+        quotes, salt = F.broadcast(quotes.withColumn("_salt", F.lit(0))), F.lit(0)
+    else:
+        quotes = quotes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+        salt = F.pmod(F.xxhash64("transaction_hash"), F.lit(spread)).cast("int")
+    keyed = df.withColumns({"_day": day, "_salt": salt})
+    met = keyed.join(quotes, ["token_address", "_day", "_salt"], "left").drop("_day", "_salt")
+    fits = F.filter("_quotes", lambda q: (seconds < q["_end"]) & (seconds > q["_end"] - DAY))
+    return met.withColumn("_quote", F.explode_outer(fits)).withColumn("price", F.col("_quote")["price"]) \
+        .drop("_quotes", "_quote")
+
+
 # Columns of the priced table.
 PRE_TX = ["block_number", "from_address", "to_address", "gas", "gas_used", "gas_price", "value",
           "token_transfer", "token_contract", "volume", "gas_spent", "gas_spent_usd"]
@@ -135,8 +175,7 @@ def _token_leg(tx, transfers, tokens, ids, prices, chain, native_id) -> DataFram
     moved = transfers.select(
         "block_number", "from_address", "to_address", "token_address", "value", "transaction_hash"
     )
-    moved = with_price_id(with_token(with_transaction(moved, tx), tokens), ids, chain)
-    moved = with_interval_price(moved, prices, "price_id", "tx_timestamp")
+    moved = with_token_price(with_transaction(moved, tx), token_quotes(tokens, ids, prices, chain), "tx_timestamp")
     moved = with_interval_price(moved, prices, native_id, "tx_timestamp", out="native_price")
     fee = scalars.gas_cost(F.col("receipt_gas_used"), F.col("gas_price"))
     units = scalars.to_units(F.col("value"), F.col("decimals"))
