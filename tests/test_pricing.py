@@ -104,24 +104,3 @@ def test_running_stats_do_not_depend_on_the_split(spark):
     for cut in (0, 1, 2, 3):
         state = activity.address_stats(rows.where(F.col("block_number") <= cut))
         assert listed(activity.cumulative_stats(state, rows.where(F.col("block_number") > cut))) == listed(whole)
-
-
-@pytest.mark.parametrize("rows", [0, 200_000])
-def test_token_prices_meet_the_rows_once(spark, rows):
-    rng = random.Random(8)
-    prices = quotes(spark, [(rng.randint(1, 4), 1, float(i), 0.0, T0 + rng.randint(-DAY, 4 * DAY)) for i in range(60)])
-    names = ["0xAa", "0xbb", "0xCc", "0xdd", "0xee", None]
-    tokens = spark.createDataFrame([("0xaa", 6), ("0xBB", 18), ("0xcc", None)], "address string, decimals int")
-    ids = spark.createDataFrame([("0xAa", 1), ("0xbb", 2), ("0xcc", 3), ("0xdd", 4)], "eth string, id long")
-    moved = spark.createDataFrame(
-        [(f"0x{i}", rng.choice([*names, "0xbb", "0xbb", "0xbb"]), at(rng.randint(-DAY, 4 * DAY))) for i in range(200)],
-        "transaction_hash string, token_address string, tx_timestamp timestamp")
-    found = pricing.with_token_price(moved, pricing.token_quotes(tokens, ids, prices, "eth"), "tx_timestamp", rows=rows)
-    plain = pricing.with_price_id(pricing.with_token(moved, tokens), ids, "eth")
-    plain = pricing.with_interval_price(plain, prices, "price_id", "tx_timestamp")
-    # Where there is no price, there is no volume either, and decimals do not matter.
-    same = ["transaction_hash", "token_address", "price", F.when(F.col("price").isNotNull(), F.col("decimals")).alias("d")]
-    assert listed(found, *same) == listed(plain, *same)
-    lines = [x for x in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join LeftOuter" in x]
-    # The rows move for one join; the other one is inside the dimension, between the token tables.
-    assert sum("_day" in x for x in lines) == 1 and len(lines) == 2
