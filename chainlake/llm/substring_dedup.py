@@ -163,8 +163,9 @@ def repeated_spans(segments: DataFrame, window: int, shard_words: int = 500_000,
 
     Equal segments are one row with a weight first. Segments go to shards by key, so all equal
     windows meet; a shard's index is built over at most about `shard_words` words, cut between keys.
-    The segments of a key that has more than `key_segments` of them are cut into single windows,
-    which go to shards by their own words, so no key grows into one task.
+    The segments of a key that has more than `key_segments` of them are cut into single windows;
+    equal ones become one row with the sum of their weights before they are dealt, by their own
+    words, so neither a key nor a window that stands in many segments grows into one task.
     """
     import pyarrow as pa
 
@@ -174,13 +175,18 @@ def repeated_spans(segments: DataFrame, window: int, shard_words: int = 500_000,
                  .select("key", F.lit(True).alias("hot")))
     marked = distinct.join(hot, "key", "left").withColumn("w", F.split("words", " "))
     plain = marked.where("hot is null").select(
-        F.col("key").alias("place"), "key", "seg", F.lit(0).alias("at"), "words", "weight",
+        F.col("key").alias("place"), "key", "seg", F.lit(None).cast("string").alias("digest"), "words", "weight",
         F.size("w").alias("n"))
     cut = marked.where("hot").select("key", "seg", "w", "weight", F.explode(
         F.sequence(F.lit(0), F.size("w") - window)).alias("at"))
     cut = cut.withColumn("words", F.array_join(F.slice("w", F.col("at") + 1, window), " ")).select(
-        F.xxhash64("words").alias("place"), "key", "seg", "at", "words", "weight", F.lit(window).alias("n"))
-    placed = plain.union(cut)
+        "key", "seg", "at", F.sha2("words", 256).alias("digest"), "words", "weight")
+    # Equal windows of different segments add up ahead of the shuffle and are one row from here on.
+    windows = cut.groupBy("digest").agg(F.max("words").alias("words"), F.sum("weight").alias("weight"))
+    none = F.lit(None).cast("long")
+    placed = plain.unionByName(windows.select(
+        F.xxhash64("digest").alias("place"), none.alias("key"), none.alias("seg"), "digest", "words", "weight",
+        F.lit(window).alias("n")))
     spark = segments.sparkSession
     total = distinct.agg(F.sum(F.size(F.split("words", " ")))).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_words))
@@ -196,11 +202,9 @@ def repeated_spans(segments: DataFrame, window: int, shard_words: int = 500_000,
             edge = np.flatnonzero(np.diff(hits.astype(np.int8), prepend=0, append=0))
             for a, b in zip(edge[::2], edge[1::2]):
                 row.append(i), begin.append(a), end.append(b + window - 1)
-        ours = got.select(["key", "seg", "at"]).take(pa.array(row, pa.int64()))
-        at = ours["at"].to_numpy()
-        return pa.table({"key": ours["key"], "seg": ours["seg"],
-                         "from": pa.array(at + np.array(begin, np.int32), pa.int32()),
-                         "to": pa.array(at + np.array(end, np.int32), pa.int32())}).to_batches()
+        ours = got.select(["key", "seg", "digest"]).take(pa.array(row, pa.int64()))
+        return pa.table({"key": ours["key"], "seg": ours["seg"], "digest": ours["digest"],
+                         "from": pa.array(begin, pa.int32()), "to": pa.array(end, pa.int32())}).to_batches()
 
     def search(batches):
         held, size, last = [], 0, None
@@ -219,10 +223,15 @@ def repeated_spans(segments: DataFrame, window: int, shard_words: int = 500_000,
         if size:
             yield from judge(held)
 
-    dealt = (placed.select("place", "key", "seg", "at", "words", F.col("n").cast("long"), "weight")
+    dealt = (placed.select("place", "key", "seg", "digest", "words", F.col("n").cast("long"), "weight")
              .repartition(shards, "place").sortWithinPartitions("place"))
-    spans = settle(dealt.mapInArrow(search, "key long, seg long, `from` int, `to` int"))
-    discard(distinct, hot)
+    judged = settle(dealt.mapInArrow(search, "key long, seg long, digest string, `from` int, `to` int"))
+    # Both sides are read from tables, so a digest that stands in very many segments is split like any hot key.
+    at = settle(cut.select("key", "seg", "at", "digest"))
+    again = at.join(judged.where("digest is not null").select("digest"), "digest").select(
+        "key", "seg", F.col("at").cast("int").alias("from"), (F.col("at") + window).cast("int").alias("to"))
+    spans = settle(judged.where("digest is null").select("key", "seg", "from", "to").unionByName(again))
+    discard(distinct, hot, judged, at)
     return spans
 
 

@@ -106,3 +106,23 @@ def test_crowded_keys_and_small_shards(spark):
     sets = [sorted({(r.key, r.seg, i) for r in repeated_spans(segments, 12, *limits).collect()
                     for i in range(r["from"], r["to"])}) for limits in ((10 ** 6, 10 ** 6), (50, 10 ** 6), (200, 0))]
     assert sets[0] and sets[0] == sets[1] == sets[2]
+
+
+def test_a_window_of_many_segments_is_one_row(spark, monkeypatch):
+    from chainlake.llm import substring_dedup
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(20)]
+    texts = [" ".join([f"a{rng.random()}", *passage, f"b{i}"]) for i in range(300)]
+    rows = documents(spark, texts).select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    segments = substring_dedup.candidate_segments(rows, 12, 5)
+    assert segments.select("key", "seg").distinct().count() > 300
+    tables, settle = [], substring_dedup.settle
+    monkeypatch.setattr(substring_dedup, "settle", lambda df: tables.append(df) or settle(df))
+    got = {(r.key, r.seg, i) for r in repeated_spans(segments, 12, 10 ** 6, 0).collect() for i in range(r["from"], r["to"])}
+    monkeypatch.undo()
+    want = {(r.key, r.seg, i) for r in repeated_spans(segments, 12).collect() for i in range(r["from"], r["to"])}
+    assert got and got == want
+    plan = tables[2]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("RepartitionByExpression") < plan.index("Aggregate [digest")
