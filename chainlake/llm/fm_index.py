@@ -60,24 +60,36 @@ class FMIndex:
 
 
 def _sorted_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffix order by the first `depth` numbers or more, by doubling."""
+    """Suffix order by the first `depth` numbers or more, by doubling.
+
+    The first key packs as many numbers as 62 bits hold. Suffixes that agree stay in any order.
+    """
     n = len(text)
-    order = np.argsort(text, kind="stable")
-    rank, span = text.astype(np.int64), 1
+    bits = (int(text.max(initial=0)) + 1).bit_length()
+    span = max(1, min(62 // bits, depth))
+    key = np.zeros(n, np.int64)
+    for ahead in range(span):
+        key <<= bits
+        key[:max(0, n - ahead)] |= text[ahead:] + 1
+    order, rank = _ranked(key)
     while span < depth:
         follow = np.zeros(n, np.int64)
-        follow[:n - span] = rank[span:] + 1
-        key = rank * (int(follow.max(initial=0)) + 1) + follow
-        order = np.argsort(key, kind="stable")
-        new = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
-        rank = np.empty(n, np.int64)
-        rank[order] = new
+        follow[:max(0, n - span)] = rank[span:] + 1
+        order, rank = _ranked(rank * (int(follow.max(initial=0)) + 1) + follow)
         span *= 2
-        if n and new[-1] == n - 1:
+        if n and rank[order[-1]] == n - 1:
             break
     return order
 
 
+def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the keys, and each key's number among the distinct ones."""
+    order = np.argsort(key)
+    rank = np.empty(len(key), np.int64)
+    rank[order] = np.cumsum(np.diff(key[order], prepend=key[order[:1]]) != 0)
+    return order, rank
+
+
 def repeated_windows(pieces: list[np.ndarray], weights: np.ndarray, window: int) -> list[np.ndarray]:
     """For every piece, which of its windows occur twice or more among all pieces.
 
