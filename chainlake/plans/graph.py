@@ -12,7 +12,7 @@ from chainlake.functions import scalars
 from chainlake.operators import rows
 from chainlake.operators.joins import combine_metrics, with_weights
 from chainlake.operators.ranking import add_rank, last_transaction
-from chainlake.session import discard, settle
+from chainlake.session import discard, settle, small
 
 # Out-edges of one source that share a task before the source is split.
 EDGES_PER_SLICE = 1_000_000
@@ -122,6 +122,50 @@ def pagerank(
     ranks are written to the shared folder every round, so plans stay short and a
     lost executor costs at most one round.
     """
+    count, nodes, held, kept_tables = _walkable(edges, personal, weighted, edges_per_slice)
+    if count == 0:
+        return nodes
+    ranks = settle(nodes.withColumn("score", F.lit(1.0 / count)))
+    try:
+        for _ in range(max_iter):
+            # A scalar subquery over the table of the round before: one job per round.
+            dangling = ranks.where("total is null").agg(
+                F.coalesce(F.sum("score"), F.lit(0.0))).scalar()
+            shares = ranks.where("total is not null").select(
+                F.col("id").alias("src"), (F.col("score") / F.col("total")).alias("share"),
+                F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
+            )
+            gained = (
+                held.join(shares, ["src", "slice"])
+                .groupBy(F.col("dst").alias("id"))
+                .agg(F.sum(F.col("share") * F.col("weight")).alias("gain"))
+            )
+            gain = F.coalesce("gain", F.lit(0.0)) + dangling * F.col("jump")
+            last, ranks = ranks, settle(
+                ranks.withColumnRenamed("score", "before").join(gained, "id", "left").select(
+                    "id", "jump", "total", "slices", "before",
+                    (F.lit(alpha) * gain + F.lit(1.0 - alpha) * F.col("jump")).alias("score"),
+                )
+            )
+            discard(last)
+            kept = ranks
+            if tol is not None:
+                moved = ranks.agg(F.sum(F.abs(F.col("score") - F.col("before")))).first()[0]
+                if moved < count * tol:
+                    break
+            ranks = ranks.drop("before")
+            ranks._settled_at = kept._settled_at
+    finally:
+        held.unpersist()
+        discard(*kept_tables)
+    return ranks.select("id", "score")
+
+
+def _walkable(edges: DataFrame, personal: DataFrame | None, weighted: bool, edges_per_slice: int):
+    """(vertex count, vertices `id, jump, total, slices`, edges dealt by source and slice, tables to delete).
+
+    Without vertices the second is the empty result and the rest is None.
+    """
     spark = edges.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     weight = F.col("weight") if weighted else F.lit(1.0)
@@ -134,7 +178,7 @@ def pagerank(
     nodes = vertices(edges)
     count = nodes.count()
     if count == 0:
-        return spark.createDataFrame([], "id string, score double")
+        return 0, spark.createDataFrame([], "id string, score double"), None, None
     jump = F.lit(1.0 / count)
     if personal is not None:
         nodes = nodes.join(personal.select("id", F.col("weight").alias("_p")), "id", "left")
@@ -149,41 +193,61 @@ def pagerank(
         .withColumn("slice", F.coalesce(F.pmod(F.xxhash64("dst"), F.col("slices")), F.lit(0)).cast("int"))
         .drop("slices")
     )
-    held = sliced.repartition(parts, "src", "slice").persist()
-    ranks = settle(nodes.withColumn("score", F.lit(1.0 / count)))
+    return count, nodes, sliced.repartition(parts, "src", "slice").persist(), (edges, out, nodes)
+
+
+def pagerank_push(
+    edges: DataFrame, alpha: float = 0.85, personal: DataFrame | None = None,
+    weighted: bool = True, tol: float = 1e-6, max_iter: int = 1000,
+    edges_per_slice: int = EDGES_PER_SLICE,
+) -> DataFrame:
+    """`pagerank` to convergence, moving only what still changes; returns `id, score` of sum 1.
+
+    Every vertex has a score and a residual that has not been passed on yet. A round passes on, along
+    the out-edges, the residuals above a threshold and leaves the others, so the traffic falls with the
+    vertices that are still unsettled. Scores only grow, and what is left bounds the error: the absolute
+    errors of all scores sum to at most `tol`. Mass that ends in vertices without out-edges would return
+    along the jumps, which scales all scores alike; so it is left out and the sum set to 1 in the end.
+
+    `personal(id, weight)` must sum to 1 over the vertices. Not settled after `max_iter` rounds is an error.
+    """
+    count, nodes, held, kept_tables = _walkable(edges, personal, weighted, edges_per_slice)
+    if count == 0:
+        return nodes
+    # What stays below it adds up to an error of tol / 2 beside a sum of at least 1 - alpha.
+    least = tol * (1.0 - alpha) ** 2 / (2.0 * count)
+    state = settle(nodes.select("id", "total", "slices", F.lit(0.0).alias("score"),
+                                (F.lit(1.0 - alpha) * F.col("jump")).alias("residual")))
+    moves = F.col("residual") > least
     try:
         for _ in range(max_iter):
-            # A scalar subquery over the table of the round before: one job per round.
-            dangling = ranks.where("total is null").agg(
-                F.coalesce(F.sum("score"), F.lit(0.0))).scalar()
-            shares = ranks.where("total is not null").select(
-                F.col("id").alias("src"), (F.col("score") / F.col("total")).alias("share"),
+            if state.where(moves).isEmpty():
+                break
+            shares = state.where(moves & F.col("total").isNotNull()).select(
+                F.col("id").alias("src"), (F.lit(alpha) * F.col("residual") / F.col("total")).alias("share"),
                 F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
             )
+            # Once few vertices move, they go to the edges and no edge is sorted.
             gained = (
-                held.join(shares, ["src", "slice"])
+                held.join(small(shares), ["src", "slice"])
                 .groupBy(F.col("dst").alias("id"))
                 .agg(F.sum(F.col("share") * F.col("weight")).alias("gain"))
             )
-            gain = F.coalesce("gain", F.lit(0.0)) + dangling * F.col("jump")
-            last, ranks = ranks, settle(
-                ranks.withColumnRenamed("score", "before").join(gained, "id", "left").select(
-                    "id", "jump", "total", "slices", "before",
-                    (F.lit(alpha) * gain + F.lit(1.0 - alpha) * F.col("jump")).alias("score"),
+            last, state = state, settle(
+                state.join(gained, "id", "left").select(
+                    "id", "total", "slices",
+                    (F.col("score") + F.when(moves, F.col("residual")).otherwise(0.0)).alias("score"),
+                    (F.when(moves, 0.0).otherwise(F.col("residual"))
+                     + F.coalesce("gain", F.lit(0.0))).alias("residual"),
                 )
             )
             discard(last)
-            kept = ranks
-            if tol is not None:
-                moved = ranks.agg(F.sum(F.abs(F.col("score") - F.col("before")))).first()[0]
-                if moved < count * tol:
-                    break
-            ranks = ranks.drop("before")
-            ranks._settled_at = kept._settled_at
+        else:
+            raise RuntimeError(f"residuals above {least} after {max_iter} rounds")
     finally:
         held.unpersist()
-        discard(edges, out, nodes)
-    return ranks.select("id", "score")
+        discard(*kept_tables)
+    return state.select("id", (F.col("score") / state.agg(F.sum("score")).scalar()).alias("score"))
 
 
 def scaled_ranking(scores: DataFrame, scale: float = 1e6) -> DataFrame:

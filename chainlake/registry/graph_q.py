@@ -142,6 +142,24 @@ def _(t):
     return rounded(scores, 10, "score")
 
 
+@query("g05_pagerank_converged", f"""
+    with {EDGES_CTE.strip()},
+    jumps as (select dst as id, sum(weight) / (select sum(weight) from edges) as j from edges group by 1),
+    steps as (select src, dst, weight / sum(weight) over (partition by src) as share from edges),
+    walks as (with recursive r as (
+      select 0 as round, id, 0.5 * j as part from jumps
+      union all
+      select r.round + 1, s.dst, sum(0.5 * r.part * s.share) from r join steps s on s.src = r.id
+      where r.round < 60 group by 1, 2) select * from r),
+    ids as (select src as id from edges union select dst from edges)
+    select ids.id, round(coalesce(sum(part), 0.0) / (select sum(part) from walks), 8) as score
+    from ids left join walks on walks.id = ids.id group by 1""")
+def _(t):
+    e = graph.graph_edges(edges(t))
+    scores = graph.pagerank_push(e, alpha=0.5, personal=graph.personalisation(e), tol=1e-10)
+    return rounded(scores, 8, "score")
+
+
 @query("g06_scaled_ranking", """
     select address, reputation_score * 1000000 as score,
       row_number() over (order by reputation_score desc, address) as rank from (

@@ -55,6 +55,36 @@ def test_uniform_rank_stops_on_tolerance(spark):
     assert max(abs(got[k] - want[k]) for k in want) < 1e-4
 
 
+@pytest.mark.parametrize("slice_rows, personal", [(1_000_000, True), (2, False)])
+def test_push_reaches_the_dense_rank(spark, slice_rows, personal):
+    rows = random_edges(3)
+    edges = spark.createDataFrame(rows, "src string, dst string, weight double")
+    start = graph.personalisation(edges) if personal else None
+    want = dense_rank(rows, 0.6, {r.id: r.weight for r in start.collect()} if personal else None)
+    for tol in (1e-1, 1e-5):
+        got = graph.pagerank_push(edges, 0.6, start, tol=tol, edges_per_slice=slice_rows)
+        found = {r.id: r.score for r in got.collect()}
+        assert found.keys() == want.keys()
+        assert sum(abs(found[k] - want[k]) for k in want) <= tol
+        assert abs(sum(found.values()) - 1) < 1e-9
+
+
+def test_push_moves_only_what_is_unsettled(spark, monkeypatch):
+    # A long chain beside a ring: the chain settles link by link, the ring goes on.
+    rows = [(f"c{i}", f"c{i + 1}", 1.0) for i in range(12)] + [("r0", "r1", 1.0), ("r1", "r0", 1.0)]
+    edges = spark.createDataFrame(rows, "src string, dst string, weight double")
+    start = spark.createDataFrame([("c0", 0.5), ("r0", 0.5)], "id string, weight double")
+    sent = []
+    monkeypatch.setattr(graph, "small", lambda df: sent.append(df.count()) or df)
+    got = {r.id: r.score for r in graph.pagerank_push(edges, 0.5, start, tol=1e-3).collect()}
+    want = dense_rank(rows, 0.5, {"c0": 0.5, "r0": 0.5})
+    assert sum(abs(got[k] - want[k]) for k in want) <= 1e-3
+    assert max(sent) <= 2 and len(sent) < 25
+    with pytest.raises(RuntimeError):
+        graph.pagerank_push(edges, 0.5, start, tol=1e-9, max_iter=3)
+    assert graph.pagerank_push(edges.limit(0)).count() == 0
+
+
 def test_edges_keep_the_last_transaction_per_pair(spark):
     zero = "0x" + "0" * 40
     rows = spark.createDataFrame([
