@@ -10,7 +10,6 @@ from chainlake.operators import derive
 from chainlake.operators.joins import left_receipts, price_escrows
 from chainlake.operators.latest import one_price_id
 from chainlake.operators.rows import union_aligned
-from chainlake.session import small
 
 DAY = 86400
 
@@ -28,30 +27,46 @@ def _seconds(ts: str) -> Column:
     return F.col(ts).cast("double")
 
 
-def _by_day(df: DataFrame, quotes: DataFrame, day: Column, out: str, keep) -> DataFrame:
-    """Left join of `df` on the quotes of one id, by day, without moving `df`.
+def _meet(df: DataFrame, side: DataFrame, on: dict[str, Column], rows: int = 200_000, spread: int = 16) -> DataFrame:
+    """Left join of `df` on `side`, by the columns of `side` that `on` names and their values in `df`.
 
-    `quotes` has `_day`, `_end` and `out`. They become one row per day with the day's quotes in a
-    list; as many rows as days are counted, and sent to every task. `keep` says which quotes
-    of the day hold for a row. As in any left join, a row with no quote stays once, with null.
+    `side` goes to every task, and `df` does not move, if it is counted to have at most `rows` rows. Beyond
+    that its rows are repeated `spread` times and the rows of a key are dealt over as many places, so
+    what everybody moves, or what has no key, is not one task's work.
     """
-    days = quotes.groupBy("_day").agg(F.collect_list(F.struct("_end", out)).alias("_quotes"))
-    met = df.join(small(days), day == F.col("_day"), "left")
+    keys = dict(on)
+    if side.limit(rows + 1).count() <= rows:
+        side = F.broadcast(side)
+    else:
+        side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+        dealt = [name for name, kind in df.dtypes if "map<" not in kind]
+        keys["_salt"] = F.pmod(F.xxhash64(*dealt), F.lit(spread)).cast("int")
+    return df.join(side, [value == F.col(name) for name, value in keys.items()], "left").drop(*keys)
+
+
+def _by_day(df: DataFrame, quotes: DataFrame, on: dict[str, Column], out: str, keep, **size) -> DataFrame:
+    """Left join of `df` on quotes, which become one row per key of `on` with its quotes in a list.
+
+    `quotes` has the columns of `on`, `_end` and `out`. `keep` says which quotes of the list hold for a row.
+    As in any left join, a row with no quote stays once, with null.
+    """
+    lists = quotes.groupBy(*on).agg(F.collect_list(F.struct("_end", out)).alias("_quotes"))
+    met = _meet(df, lists, on, **size)
     fits = F.filter("_quotes", keep)
     return met.withColumn("_quote", F.explode_outer(fits)).withColumn(out, F.col("_quote")[out]) \
-        .drop("_quotes", "_quote", "_day")
+        .drop("_quotes", "_quote")
 
 
 def with_interval_price(
     df: DataFrame, prices: DataFrame, id_col: str | int, ts: str = "block_timestamp",
-    basis: str = "open", out: str = "price",
+    basis: str = "open", out: str = "price", **size,
 ) -> DataFrame:
     """Left join on the quote whose day-long interval strictly contains `ts`.
 
     A quote at time p covers (p - 1 day, p), hence at most two calendar days. It
-    is listed under each of them, so rows meet it by hash on (id, day) and the
-    two strict bounds only filter what met. Rows on a bound match nothing, and
-    two quotes less than a day apart both match.
+    is listed under each of them, so rows meet the list of an id and day and the
+    two strict bounds only filter it. Rows on a bound match nothing, and two
+    quotes less than a day apart both match. `size` goes to `_meet`.
     """
     quotes = prices
     if isinstance(id_col, int):
@@ -65,12 +80,8 @@ def with_interval_price(
     )
     seconds = _seconds(ts)
     day = F.floor(seconds / DAY).cast("bigint")
-    if isinstance(id_col, int):
-        return _by_day(df, quotes.drop("_id"), day, out,
-                       lambda q: (seconds < q["_end"]) & (seconds > q["_end"] - DAY))
-    match = (day == F.col("_day")) & (seconds < F.col("_end")) & (seconds > F.col("_end") - DAY)
-    match = (F.col(id_col) == F.col("_id")) & match
-    return df.join(quotes, match, "left").drop("_id", "_end", "_day")
+    on = {"_day": day} if isinstance(id_col, int) else {"_id": F.col(id_col), "_day": day}
+    return _by_day(df, quotes, on, out, lambda q: (seconds < q["_end"]) & (seconds > q["_end"] - DAY), **size)
 
 
 def with_daily_price(
@@ -85,10 +96,8 @@ def with_daily_price(
         F.col("id").alias("_id"), F.to_date(F.timestamp_seconds("timestamp")).alias("_day"),
         basis_price(basis).alias(out),
     )
-    if isinstance(id_col, int):
-        return _by_day(df, quotes.withColumn("_end", F.lit(0)), F.to_date(ts), out, lambda q: F.lit(True))
-    match = (F.to_date(ts) == F.col("_day")) & (F.col(id_col) == F.col("_id"))
-    return df.join(quotes, match, "left").drop("_id", "_day")
+    on = {"_day": F.to_date(ts)} if isinstance(id_col, int) else {"_id": F.col(id_col), "_day": F.to_date(ts)}
+    return _by_day(df, quotes.withColumn("_end", F.lit(0)), on, out, lambda q: F.lit(True))
 
 
 def with_transaction(transfers: DataFrame, tx: DataFrame) -> DataFrame:
@@ -100,10 +109,22 @@ def with_transaction(transfers: DataFrame, tx: DataFrame) -> DataFrame:
     return transfers.join(context, "transaction_hash", "left")
 
 
-def with_token(df: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Left join on token decimals, ignoring case."""
-    known = tokens.select(F.lower("address").alias("_token"), "decimals")
-    return df.join(known, F.lower("token_address") == F.col("_token"), "left").drop("_token")
+def token_facts(tokens: DataFrame, ids: DataFrame, chain: str) -> DataFrame:
+    """_token, decimals, _ids: what is known of a token, by its address without case.
+
+    Price ids go by the address as written, so the ids of all spellings are listed with theirs.
+    """
+    scale = tokens.select(F.lower("address").alias("_token"), "decimals")
+    named = one_price_id(ids, chain).groupBy(F.lower("address").alias("_token")) \
+        .agg(F.collect_list(F.struct("address", "id")).alias("_ids"))
+    return scale.join(named, "_token", "full")
+
+
+def with_token_facts(df: DataFrame, facts: DataFrame, **size) -> DataFrame:
+    """Left join on `token_facts`: adds decimals (ignoring case) and price_id (of the address as written)."""
+    met = _meet(df, facts, {"_token": F.lower("token_address")}, **size)
+    same = F.filter("_ids", lambda x: x["address"] == F.col("token_address"))
+    return met.withColumn("price_id", F.get(same, F.lit(0))["id"]).drop("_ids")
 
 
 def with_price_id(df: DataFrame, ids: DataFrame, chain: str) -> DataFrame:
@@ -135,7 +156,7 @@ def _token_leg(tx, transfers, tokens, ids, prices, chain, native_id) -> DataFram
     moved = transfers.select(
         "block_number", "from_address", "to_address", "token_address", "value", "transaction_hash"
     )
-    moved = with_price_id(with_token(with_transaction(moved, tx), tokens), ids, chain)
+    moved = with_token_facts(with_transaction(moved, tx), token_facts(tokens, ids, chain))
     moved = with_interval_price(moved, prices, "price_id", "tx_timestamp")
     moved = with_interval_price(moved, prices, native_id, "tx_timestamp", out="native_price")
     fee = scalars.gas_cost(F.col("receipt_gas_used"), F.col("gas_price"))
@@ -192,7 +213,7 @@ def pre_tx_daily(
         fee.alias("gas_spent"), (fee * F.col("price")).alias("gas_spent_usd"),
     )
     # One id per address keeps the row count; the raw map may list an address twice.
-    moved = with_price_id(with_token(derive.transfers_strict(logs.where(inside)), tokens), ids, chain)
+    moved = with_token_facts(derive.transfers_strict(logs.where(inside)), token_facts(tokens, ids, chain))
     units = scalars.to_units(F.col("token_transfer"), F.col("decimals"))
     token = with_daily_price(moved, prices, "price_id").select(
         F.col("transaction_hash").alias("tx_hash"), "block_number", "from_address", "to_address",

@@ -104,3 +104,31 @@ def test_running_stats_do_not_depend_on_the_split(spark):
     for cut in (0, 1, 2, 3):
         state = activity.address_stats(rows.where(F.col("block_number") <= cut))
         assert listed(activity.cumulative_stats(state, rows.where(F.col("block_number") > cut))) == listed(whole)
+
+
+@pytest.mark.parametrize("rows", [0, 200_000])
+def test_token_facts_meet_the_rows_once(spark, rows):
+    rng = random.Random(8)
+    prices = quotes(spark, [(rng.randint(1, 4), 1, float(i), 0.0, T0 + rng.randint(-DAY, 4 * DAY)) for i in range(60)])
+    names = ["0xAa", "0xaa", "0xbb", "0xCc", "0xdd", "0xee", None]
+    # A token listed twice, one without decimals, one without any row, ids under two spellings, an id of no address.
+    tokens = spark.createDataFrame([("0xaa", 6), ("0xBB", 18), ("0xbb", 18), ("0xcc", None), (None, 3)],
+                                   "address string, decimals int")
+    ids = spark.createDataFrame([("0xAa", 1), ("0xaa", 2), ("0xaa", 3), ("0xbb", 2), ("0xcc", 3), ("0xdd", 4), (None, 1)],
+                                "eth string, id long")
+    moved = spark.createDataFrame(
+        [(f"0x{i}", rng.choice([*names, "0xbb", "0xbb", "0xbb"]), at(rng.randint(-DAY, 4 * DAY))) for i in range(200)],
+        "transaction_hash string, token_address string, tx_timestamp timestamp")
+    found = pricing.with_token_facts(moved, pricing.token_facts(tokens, ids, "eth"), rows=rows)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # The rows meet the token once; the other join is between the two tables of tokens.
+    assert plan.count("Join LeftOuter") == 1 and plan.count("Join FullOuter") == 1
+    assert ("_salt" in plan) == (rows == 0)
+    found = pricing.with_interval_price(found, prices, "price_id", "tx_timestamp", rows=rows)
+    scale = tokens.select(F.lower("address").alias("_t"), "decimals")
+    plain = pricing.with_price_id(moved.join(scale, F.lower("token_address") == F.col("_t"), "left"), ids, "eth")
+    p = prices.select(F.col("id").alias("_id"), F.timestamp_seconds("timestamp").alias("_e"), F.col("open").alias("price"))
+    literal = plain.join(p, (F.col("price_id") == F.col("_id")) & (F.col("tx_timestamp") < F.col("_e"))
+                         & (F.col("tx_timestamp") > F.col("_e") - F.expr("interval 1 day")), "left")
+    same = ["transaction_hash", "token_address", "decimals", "price_id", "price"]
+    assert listed(found, *same) == listed(literal, *same)
