@@ -159,31 +159,31 @@ def _(t):
     return payloads.parse_receipt_logs(raw_receipts(t)).withColumn("topics", F.array_join("topics", ","))
 
 
+def trace_payload():
+    """A trace as a node sends it; which fields it has depends on its type."""
+    hx = lambda c: F.concat(F.lit("0x"), F.lower(F.hex(F.col(c).cast("bigint"))))
+    call, create, reward = (F.col("trace_type") == k for k in ("call", "create", "reward"))
+    return F.struct(
+        F.struct(F.upper("from_address").alias("from"), F.when(call, F.col("to_address")).alias("to"),
+                 hx("gas").alias("gas"), F.when(reward, hx("value")).otherwise(hx("gas_used")).alias("value"),
+                 F.col("call_type").alias("callType"), F.when(call, F.col("input")).alias("input"),
+                 F.when(create, F.col("input")).alias("init"), F.when(reward, F.col("to_address")).alias("author"),
+                 F.when(reward, F.col("reward_type")).alias("rewardType")).alias("action"),
+        F.struct(hx("gas_used").alias("gasUsed"), F.when(call, F.col("output")).alias("output"),
+                 F.when(create, F.col("to_address")).alias("address"),
+                 F.when(create, F.col("output")).alias("code")).alias("result"),
+        F.col("block_number").alias("blockNumber"), "error", "subtraces",
+        F.when(F.col("path") == "", F.array().cast("array<int>")).otherwise(
+            F.split("path", ",").cast("array<int>")).alias("traceAddress"),
+        F.col("transaction_hash").alias("transactionHash"),
+        F.col("transaction_index").alias("transactionPosition"), F.col("trace_type").alias("type"))
+
+
 def raw_traces(t):
     """Trace payloads: one document per transaction with its traces in an array."""
-    hx = lambda c: F.concat(F.lit("0x"), F.lower(F.hex(F.col(c).cast("bigint"))))
-    one = t.trace_rows.select(
-        "block_number", "transaction_hash",
-        F.struct(
-            F.size(F.split("path", ",")).alias("_depth"), F.col("path").alias("_path"),
-            F.struct(F.upper("from_address").alias("from"),
-                     F.when(F.col("trace_type") == "call", F.col("to_address")).alias("to"),
-                     hx("gas").alias("gas"), hx("gas_used").alias("value"),
-                     F.col("call_type").alias("callType"),
-                     F.when(F.col("trace_type") == "call", F.col("input")).alias("input"),
-                     F.when(F.col("trace_type") == "create", F.col("input")).alias("init")).alias("action"),
-            F.struct(hx("gas_used").alias("gasUsed"),
-                     F.when(F.col("trace_type") == "call", F.col("output")).alias("output"),
-                     F.when(F.col("trace_type") == "create", F.col("to_address")).alias("address"),
-                     F.when(F.col("trace_type") == "create", F.col("output")).alias("code")).alias("result"),
-            F.col("block_number").alias("blockNumber"), "error", "subtraces",
-            F.when(F.col("path") == "", F.array().cast("array<int>")).otherwise(
-                F.split("path", ",").cast("array<int>")).alias("traceAddress"),
-            F.col("transaction_hash").alias("transactionHash"),
-            F.col("transaction_index").alias("transactionPosition"), F.col("trace_type").alias("type"),
-        ).alias("x"),
-    )
-    docs = one.groupBy("transaction_hash").agg(F.sort_array(F.collect_list("x")).alias("result"))
+    one = t.trace_rows.select("transaction_hash", F.struct("path", trace_payload().alias("x")).alias("x"))
+    docs = one.groupBy("transaction_hash").agg(
+        F.transform(F.sort_array(F.collect_list("x")), lambda s: s["x"]).alias("result"))
     return docs.select(F.to_json(F.struct("result")).alias("value"))
 
 

@@ -10,6 +10,7 @@ from chainlake.plans import entities
 from chainlake.operators import derive, joins
 from chainlake.sources import payloads
 from chainlake.streaming import blocks as st
+from chainlake.streaming.entities import entity_sink, read_stored, unsettled_blocks
 from chainlake.streaming.pairing import pair_blocks
 from chainlake.streaming.runs import complete_runs, read_runs, run_sink
 from conftest import listed
@@ -245,3 +246,43 @@ def test_tokens_without_metadata_stay(spark):
     calls = spark.createDataFrame([], "address string, symbol string, name string, decimals string, total_supply string, block_number int")
     built = entities.build_entities(["token"], blocks, traces=traces, token_calls=calls)
     assert listed(built["token"], "address", "symbol", "block_hash") == [("0xc1", None, "0xb1")]
+
+
+def test_kinds_come_out_once_whenever_their_parts_arrive(spark, tmp_path):
+    src, out, check = (str(tmp_path / n) for n in ("src", "out", "check"))
+
+    def block(n, *hashes):
+        txs = [{"hash": h, "blockNumber": hex(n), "blockHash": f"0xb{n}", "from": "0xA", "transactionIndex": hex(i)}
+               for i, h in enumerate(hashes)]
+        return "block", hex(n), json.dumps({"result": {"number": hex(n), "hash": f"0xb{n}", "timestamp": hex(n), "transactions": txs}})
+
+    def receipt(n, tx, gas):
+        log = {"logIndex": "0x0", "transactionHash": tx, "blockNumber": hex(n), "address": "0xT", "data": "0x", "topics": []}
+        return "receipt", hex(n), json.dumps({"result": {"transactionHash": tx, "blockNumber": hex(n), "gasUsed": hex(gas), "logs": [log]}})
+
+    # A receipt ahead of its block, one behind it, a block without transactions, a receipt that never comes.
+    batches = [[receipt(1, "0xs", 5), block(2, "0xv", "0xw")], [block(1, "0xs", "0xt"), receipt(2, "0xv", 7)],
+               [receipt(1, "0xt", 6), block(3)]]
+    for rows in batches:
+        spark.createDataFrame(rows, PAIRS).coalesce(1).write.mode("append").parquet(src)
+    stream = pair_blocks(st.stream_blocks(spark, src, spark.createDataFrame([], PAIRS).schema, max_files=1))
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        st.run_incremental(stream, entity_sink(out, ["block", "transaction", "log"]), check).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    stored = lambda kind, *cols: listed(read_stored(spark, out, kind), *cols)
+    assert stored("block", "item_id", F.col("transaction_count").cast("int")) == [
+        ("block_0xb1", 2), ("block_0xb2", 2), ("block_0xb3", 0)]
+    assert stored("transaction", "item_id", F.col("receipt_gas_used").cast("int"), "item_timestamp") == [
+        ("transaction_0xs", 5, "1970-01-01T00:00:01Z"), ("transaction_0xt", 6, "1970-01-01T00:00:01Z"),
+        ("transaction_0xv", 7, "1970-01-01T00:00:02Z")]
+    assert stored("log", "item_id", "block_hash") == [
+        ("log_0xs_0", "0xb1"), ("log_0xt_0", "0xb1"), ("log_0xv_0", "0xb2")]
+    assert [(int(r.number), r.stored) for r in unsettled_blocks(spark, out).collect()] == [(2, 1)]
+    # A batch that runs again replaces itself, and what never met its block is kept as it is.
+    lost = spark.createDataFrame([(*receipt(9, "0xz", 1), False, True)], PAIRS + ", paired boolean, new boolean")
+    for _ in range(2):
+        entity_sink(out, ["block", "transaction", "log"])(lost, 7)
+    assert [r.number for r in spark.read.parquet(f"{out}/unpaired").collect()] == ["0x9"]
+    assert len(stored("transaction", "item_id")) == 3
