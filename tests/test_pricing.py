@@ -132,3 +132,17 @@ def test_token_facts_meet_the_rows_once(spark, rows):
                          & (F.col("tx_timestamp") > F.col("_e") - F.expr("interval 1 day")), "left")
     same = ["transaction_hash", "token_address", "decimals", "price_id", "price"]
     assert listed(found, *same) == listed(literal, *same)
+
+
+def test_native_quotes_of_very_many_days_leave_the_rows_where_they_are(spark):
+    prices = spark.range(210_000).select(F.lit(1).cast("long").alias("id"), F.lit(1).cast("long").alias("rank"),
+                                         F.col("id").cast("double").alias("open"), F.lit(0.0).alias("close"),
+                                         (F.lit(T0) + (F.col("id") + 1) * DAY).alias("timestamp"))
+    tx = spark.createDataFrame([("a", at(5)), ("b", at(DAY)), ("c", at(3 * DAY + 1)), ("d", at(-1)), ("e", None)],
+                               "hash string, block_timestamp timestamp")
+    for found in (pricing.with_interval_price(tx, prices, 1), pricing.with_daily_price(tx, prices, 1, basis="open")):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "_salt" not in plan and "broadcast" in plan
+    # A quote at midnight is listed once, under the day it covers, and a time on its bound meets nothing.
+    assert listed(pricing.with_interval_price(tx, prices, 1), "hash", "price") == [
+        ("a", 0.0), ("b", None), ("c", 3.0), ("d", None), ("e", None)]
