@@ -3,6 +3,7 @@ import random
 import pytest
 
 from chainlake.operators import derive, quality
+from chainlake.registry.adapters import ONE_PASS, VIEWS
 from conftest import listed
 
 SCHEMA = ("transaction_hash string, trace_address array<int>, error string, trace_type string, block_number int,"
@@ -127,3 +128,17 @@ def test_rules_name_every_problem(spark):
         "chain_key string, type string, start_block string, end_block string")
     found = quality.invalid_rows(rows).collect()
     assert [sorted(r.problems) for r in found] == [["reversed range", "unknown chain", "unknown entity type"]]
+
+
+def test_the_view_of_calls_reads_a_transaction_once(spark):
+    tx = spark.createDataFrame(
+        [(1, "0xa", 0, "0xaa1", "0xcc1", 5, 21000, 7, 1), (1, "0xb", 1, "0xaa2", None, 0, 80000, 7, 0),
+         (2, "0xc", 0, None, "0xcc1", None, 50000, None, None), (None, None, None, "0xaa1", "0xcc2", 1, None, 3, 1),
+         (1, "0xa", 0, "0xaa1", "0xcc1", 5, 21000, 7, 1)],
+        "block_number long, hash string, transaction_index long, from_address string, to_address string, "
+        "cents long, gas long, receipt_gas_used long, receipt_status int") \
+        .selectExpr("*", "cast(cents as decimal(38,0)) as value", "timestamp '2023-01-01' as block_timestamp", "'0xh' as block_hash")
+    one, three = (spark.sql(views["trace_rows"], transactions=tx) for views in (ONE_PASS, VIEWS))
+    assert one.dtypes == three.dtypes
+    assert sorted(map(str, one.collect())) == sorted(map(str, three.collect()))
+    assert "Union" not in one._jdf.queryExecution().optimizedPlan().toString()
