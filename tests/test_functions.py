@@ -141,3 +141,16 @@ def test_fixed_text(spark):
 def test_div10(spark):
     rows = spark.createDataFrame([(2.0, 3.0), (1.0, 0.0)], "a double, b double")
     assert listed(rows.select(F.round(scalars.div10(F.col("a"), F.col("b")), 10))) == [(0.6666666666,), (None,)]
+
+
+def test_a_hex_value_is_read_by_short_methods(spark):
+    """Eight fields of a row: one stage of them would pass the size up to which HotSpot compiles a method."""
+    cases = {"0x": None, "0xg": None, None: None, "12": None, "0X0": 0, "0x" + "f" * 15: 16**15 - 1, "0x" + "f" * 16: 16**16 - 1,
+             "0x" + "0" * 49 + "f" * 15: 16**15 - 1, "0x" + "0" * 50 + "f" * 15: None, "0x1" + "0" * 31: 16**31,
+             "0x" + "0" * 32 + "f" * 32: None, "0x" + "0" * 31 + "1" + "0" * 32: None, "0x-1": None}
+    df = spark.createDataFrame([(k,) for k in cases], "h string")
+    found = {r.h: (r.l, r.d) for r in df.select("h", hexes.hex_long(F.col("h")).alias("l"), hexes.hex_dec(F.col("h")).alias("d")).collect()}
+    for text, value in cases.items():
+        assert found[text] == (value if value is not None and value < 16**15 else None, None if value is None else Decimal(value)), text
+    assert len(hexes.hex_long(F.col("h"))._jc.toString()) < 300
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
