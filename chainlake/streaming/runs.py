@@ -84,8 +84,9 @@ def store_run(rows: DataFrame, path: str, batch_id: int, merge: Change = lambda
 
 
 def _write(rows: DataFrame, folder: str, by: list[str] | None) -> None:
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*by) if by else writer).parquet(folder)
+    """Rows of a value of `by` lie together, so readers skip the pages of others; a folder a value could be too many."""
+    rows = rows.sortWithinPartitions(*by) if by else rows
+    rows.write.mode("overwrite").parquet(folder)
 
 
 def run_sink(path: str, prepare: Change = lambda batch: batch, merge: Change = lambda rows: rows) -> Step:

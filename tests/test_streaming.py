@@ -89,6 +89,20 @@ def test_late_items_are_kept_and_repeats_dropped(spark, tmp_path, max_files):
     assert found() == [*range(80), 99]
 
 
+def test_a_batch_of_many_days_is_stored_in_few_files(spark, tmp_path, monkeypatch):
+    out, kind = str(tmp_path / "out"), "item_id string, day date"
+    day = lambda first, n: spark.range(first, first + n).selectExpr(
+        "cast(id as string) as item_id", "date_add(date '2023-01-01', cast(id as int)) as day")
+    sink = st.unique_sink(out, ["item_id"])
+    for at, batch in enumerate([day(0, 60), day(40, 60), day(0, 70), day(200, 10)]):
+        if at == 2:
+            monkeypatch.setattr(st, "MANY_DAYS", 5)  # the days are not listed any more
+        sink(batch.unionByName(batch).unionByName(spark.createDataFrame([("x", None)], kind)), at)
+    assert sorted(r.item_id for r in read_runs(spark, out, batch.schema).collect()) == sorted(
+        [*map(str, range(100)), *map(str, range(200, 210)), "x"])
+    assert len(list((tmp_path / "out").rglob("*.parquet"))) < 40
+
+
 def test_stored_runs_stay_few(spark, tmp_path):
     """Fifty batches of partial sums, some of them tried twice, some dying before they tidy up."""
     path = str(tmp_path / "sums")
