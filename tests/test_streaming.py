@@ -5,13 +5,15 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo
 
 from chainlake.plans import entities
 from chainlake.operators import derive, joins
 from chainlake.sources import payloads
 from chainlake.streaming import blocks as st
 from chainlake.streaming.entities import entity_sink, read_stored, unsettled_blocks
-from chainlake.streaming.pairing import pair_blocks
+from chainlake.streaming.pairing import BlockPairing, pair_blocks
 from chainlake.streaming.runs import complete_runs, read_runs, run_sink
 from conftest import listed
 
@@ -300,3 +302,52 @@ def test_kinds_come_out_once_whenever_their_parts_arrive(spark, tmp_path):
         entity_sink(out, ["block", "transaction", "log"])(lost, 7)
     assert [r.number for r in spark.read.parquet(f"{out}/unpaired").collect()] == ["0x9"]
     assert len(stored("transaction", "item_id")) == 3
+
+
+class Calls:
+    """State of one key, held in memory; it counts the calls that would go to the JVM."""
+
+    def __init__(self):
+        self.rows, self.timers, self.n = [], [], 0
+
+    def getListState(self, name, schema):
+        return self
+
+    def get(self):
+        self.n += 1
+        return iter(list(self.rows))
+
+    def put(self, rows):
+        self.n, self.rows = self.n + 1, list(rows)
+
+    def appendList(self, rows):
+        self.n, self.rows = self.n + 1, self.rows + rows
+
+    def clear(self):
+        self.n, self.rows = self.n + 1, []
+
+    def registerTimer(self, at):
+        if at not in self.timers:
+            self.n += 1
+            self.timers.append(at)
+
+
+def test_numbers_of_a_key_share_the_calls_to_its_state(spark):
+    pairing = BlockPairing(T.StructType.fromDDL(PAIRS), "kind", "number", keep_ms=10)
+    state = Calls()
+    pairing.init(state)
+    batch = lambda rows, at: [tuple(r) for r in pairing.handleInputRows(
+        ("1",), iter([(*r, "1", None, at) for r in rows]), None)]
+    numbers = [f"1{k}" for k in range(10)]
+    assert batch([("receipt", n, f"r{n}") for n in numbers], 5) == [] and state.n <= 3
+    got = batch([("block", n, f"B{n}") for n in numbers[:9]], 9)
+    assert sorted(got) == sorted([("block", n, f"B{n}", True, True) for n in numbers[:9]]
+                                 + [("receipt", n, f"r{n}", True, True) for n in numbers[:9]])
+    assert state.n <= 6
+    assert batch([("receipt", "13", "late"), ("block", "1x", "Bx")], 12) == [
+        ("block", "13", "B13", True, False), ("receipt", "13", "late", True, True), ("block", "1x", "Bx", True, True)]
+    # A number goes when its own time is over; what still waits comes out, and younger numbers stay.
+    assert state.timers == [15, 22]
+    gone = pairing.handleExpiredTimer(("1",), None, ExpiredTimerInfo(15))
+    assert [tuple(r) for r in gone] == [("receipt", "19", "r19", False, False)]
+    assert [r[:2] for r in state.rows] == [("block", "1x")]
