@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -70,20 +72,26 @@ BASE = 10**9      # nine decimal digits
 
 
 def _long_division(digits: Column, base: int, count: int) -> Column:
-    """`count` limbs to the given base, high one first, of 70 hex digits read from their high end."""
-    pieces = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.conv(
-        F.substring(digits, i * PIECE + 1, F.lit(PIECE)), 16, 10).cast("bigint"))
-
-    def step(number: Column, piece: Column) -> Column:
-        def carry(state: Column, digit: Column) -> Column:
-            value = digit * F.lit(16**PIECE) + state["carry"]
-            return F.struct(F.call_function("div", value, F.lit(base).cast("bigint")).alias("carry"),
-                            F.concat(state["out"], F.array(value % base)).alias("out"))
-
-        start = F.struct(piece.alias("carry"), F.array().cast("array<bigint>").alias("out"))
-        return F.aggregate(number, start, carry)["out"]
-
-    return F.reverse(F.aggregate(pieces, F.array_repeat(F.lit(0).cast("bigint"), count), step))
+    """`count` limbs to the given base, high one first, of 70 hex digits read from their high end.
+
+    A limb is the sum of what each piece adds to it, plus one carry; ten such products stay inside a BIGINT.
+    """
+    # What piece i adds to limb j, for each one; low pieces add nothing to high limbs.
+    weights = [[(i, 16 ** (PIECE * (9 - i)) // base**j % base) for i in range(10)] for j in range(count)]
+    long = lambda n: F.lit(n).cast("bigint")
+    once = lambda col, use: F.get(F.transform(F.array(col), use), F.lit(0))
+    pieces = once(digits, lambda d: F.array(*[
+        F.conv(F.substring(d, i * PIECE + 1, PIECE), 16, 10).cast("bigint") for i in range(10)]))
+    sums = once(pieces, lambda p: F.array(*[reduce(
+        lambda a, b: a + b, [F.get(p, F.lit(i)) * long(n) for i, n in limb if n] or [long(0)]) for limb in weights]))
+
+    def carry(state: Column, limb: Column) -> Column:
+        value = limb + state["carry"]
+        return F.struct(F.call_function("div", value, F.lit(base).cast("bigint")).alias("carry"),
+                        F.concat(state["out"], F.array(value % base)).alias("out"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.array().cast("array<bigint>").alias("out"))
+    return F.reverse(F.aggregate(sums, start, carry)["out"])
 
 
 def _long_text(col: Column) -> Column:

@@ -154,3 +154,17 @@ def test_a_hex_value_is_read_by_short_methods(spark):
         assert found[text] == (value if value is not None and value < 16**15 else None, None if value is None else Decimal(value)), text
     assert len(hexes.hex_long(F.col("h"))._jc.toString()) < 300
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_long_conversions_agree_with_python(spark):
+    rng = random.Random(5)
+    values = [0, 1, 58**5 - 1, 58**5, 10**38, 2**256 - 1, *(rng.getrandbits(rng.randrange(1, 257)) for _ in range(300))]
+    texts = ["0x" + format(v, "064x") for v in values]
+    assert [_decode58(t) for t in column(spark, hexes.base58, texts)] == ["1220" + t[2:] for t in texts]
+    assert column(spark, hexes.hex_text, texts) == [str(v) for v in values]
+
+
+def test_a_content_id_takes_few_steps(spark):
+    # A step for each limb of each piece, a hundred in all, would nest one fold in another.
+    plan = spark.range(1).select(hexes.base58(F.sha2(F.col("id").cast("string"), 256)).alias("x"))
+    assert plan._jdf.queryExecution().optimizedPlan().expressions().mkString().count("aggregate(") == 1
