@@ -217,3 +217,20 @@ def test_ranking_arguments_are_checked(spark):
     for bad in ({"sort": "address; drop"}, {"order": "sideways"}, {"take": 5}, {"take": 500}):
         with pytest.raises(ValueError):
             serving.rank_addresses(df, df, df, **bad)
+
+
+def test_bundles_move_each_item_once(spark):
+    blocks, tx, item = bundle_inputs(spark)
+    plan = writers.block_bundles(blocks, tx, item, item)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "ObjectHash" not in plan
+
+
+@pytest.mark.parametrize("part_rows", [None, 10])
+def test_items_without_a_number_meet_no_block(spark, part_rows):
+    blocks, tx, item = bundle_inputs(spark)
+    blocks = blocks.withColumn("number", F.when(F.col("number") != 3, F.col("number")))
+    tx = tx.withColumn("block_number", F.when(F.col("block_number") != 1, F.col("block_number")))
+    docs = writers.block_bundles(blocks, tx, item, item, part_rows=part_rows).collect()
+    assert {d.block_number for d in docs} == {1, 2, None}
+    assert [len(d.transactions) for d in docs if d.block_number is None] == [0]
+    assert sum(len(d.transactions) for d in docs if d.block_number == 1) == 0
