@@ -193,7 +193,11 @@ def _walkable(edges: DataFrame, personal: DataFrame | None, weighted: bool, edge
         .withColumn("slice", F.coalesce(F.pmod(F.xxhash64("dst"), F.col("slices")), F.lit(0)).cast("int"))
         .drop("slices")
     )
-    return count, nodes, sliced.repartition(parts, "src", "slice").persist(), (edges, out, nodes)
+    # Kept in the order of the join, so no round sorts the edges again; once counted, the first round knows
+    # how they lie and does not move them either.
+    held = sliced.repartition(parts, "src", "slice").sortWithinPartitions("src", "slice").persist()
+    held.count()
+    return count, nodes, held, (edges, out, nodes)
 
 
 def pagerank_push(

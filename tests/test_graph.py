@@ -209,3 +209,15 @@ def test_sorting_table_against_sorted_lists(spark):
         want |= {r[0] for r in sorted(rows, key=lambda r: (r[at], r[0]))[:20]}
         want |= {r[0] for r in sorted(rows, key=lambda r: (-r[at], r[0]))[:20]}
     assert {r.address for r in ranking.sorting_table(df, 20).collect()} == want
+
+
+def test_no_round_sorts_the_edges_again(spark):
+    edges = spark.createDataFrame(random_edges(), "src string, dst string, weight double")
+    _, nodes, held, _ = graph._walkable(edges, None, True, 2)
+    try:
+        shares = nodes.select(F.col("id").alias("src"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+        plan = held.join(shares.hint("merge"), ["src", "slice"])._jdf.queryExecution().executedPlan().toString()
+        edges_side = plan.split("SortMergeJoin")[1].split("InMemoryTableScan")[0]
+        assert "Sort [" not in edges_side and "Exchange" not in edges_side
+    finally:
+        held.unpersist()
