@@ -142,3 +142,15 @@ def test_the_view_of_calls_reads_a_transaction_once(spark):
     assert one.dtypes == three.dtypes
     assert sorted(map(str, one.collect())) == sorted(map(str, three.collect()))
     assert "Union" not in one._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_counting_calls_reads_no_column_of_a_transaction(spark, tmp_path):
+    spark.createDataFrame(
+        [(1, "0xa", 0, "0xaa1", "0xcc1", 5, 21000, 7, 1), (1, "0xb", 1, None, None, 0, None, 7, 0)],
+        "block_number long, hash string, transaction_index long, from_address string, to_address string, "
+        "cents long, gas long, receipt_gas_used long, receipt_status int") \
+        .selectExpr("*", "cast(cents as decimal(38,0)) as value", "timestamp '2023-01-01' as block_timestamp",
+                    "'0xh' as block_hash").write.parquet(f"{tmp_path}/tx")
+    calls = spark.sql(ONE_PASS["trace_rows"], transactions=spark.read.parquet(f"{tmp_path}/tx")).groupBy().count()
+    assert "ReadSchema: struct<>" in calls._jdf.queryExecution().executedPlan().toString()
+    assert calls.first()[0] == 6
