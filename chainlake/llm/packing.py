@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainlake.llm.words import WordEncoder, gathered, whole_tokens
+from chainlake.llm.words import WordEncoder, gathered, sent_tokens
 from chainlake.session import settle
 
 
@@ -81,7 +81,7 @@ def cut_pieces(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1,
     """
     import pyarrow as pa
 
-    known = docs.sparkSession.sparkContext.broadcast(whole_tokens(path))
+    known = sent_tokens(docs.sparkSession, path)
     tail = np.array([end_id], "<u4").tobytes()
     kind = docs.schema[id_col].dataType.simpleString()
     step = 4 * window

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainlake.session import settle
+from chainlake.session import release, settle
 
 # What may be a secret, and formats of well-known issuers.
 # A = is padding at the end or stands between a name and its value; a full stop at the end is the sentence's.
@@ -153,7 +153,10 @@ def scan(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     table = dictionary(spark, words)
     found = settle(places(docs, id_col, text_col))
-    return judge(found, train(labelled_findings(spark, found), table), table)
+    release(spark)
+    forest = train(labelled_findings(spark, found), table)
+    release(spark)
+    return judge(found, forest, table)
 
 
 def redact(docs: DataFrame, findings: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from chainlake.llm.components import components
 from chainlake.llm.local_graph import merge
-from chainlake.session import settle
+from chainlake.session import release, settle
 
 BLOCK = 16  # bits of the exact block that names a cell: with 4 blocks and 3 bits, one agrees
 LANES = np.uint64(0x0101010101010101)
@@ -227,7 +227,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 3, id_col:
     fps = settle(fingerprints(docs, shingle, id_col, text_col))
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
     least = settle(fps.groupBy("fp").agg(F.min(first).alias("least")))
+    release(docs.sparkSession)
     linked = components(fingerprint_links(least.select("fp"), budget))
+    release(docs.sparkSession)
     named = settle(least.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
                    .withColumn("root", F.coalesce("root", "fp")))
     roots = named.groupBy("root").agg(F.min("least").alias("first"))

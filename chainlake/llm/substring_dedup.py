@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from hashlib import sha256
 
 import numpy as np
@@ -10,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chainlake.llm.fm_index import repeated_windows
-from chainlake.session import discard, settle
+from chainlake.session import discard, release, settle
 
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
@@ -255,14 +254,14 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 12, id_col: st
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("mark"),
                        F.coalesce(text_col, F.lit("")).alias("text"))
     segments = candidate_segments(rows, window, gram)
-    _release(docs)
+    release(docs.sparkSession)
     spans = repeated_spans(segments, window)
-    _release(docs)
+    release(docs.sparkSession)
     places = segments.select("doc_id", "mark", "key", "seg", "start").join(spans, ["key", "seg"])
     spans_of = settle(places.groupBy("doc_id", "mark").agg(F.collect_set(F.struct(
         (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))).alias("spans")))
     discard(segments, spans)
-    _release(docs)
+    release(docs.sparkSession)
     meet = F.col("t.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("t.mark") == F.col("s.mark"))
     met = rows.alias("t").join(spans_of.alias("s"), meet, "left").select("t.doc_id", "t.text", "s.spans")
 
@@ -299,9 +298,3 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
         else:
             out.append((a, b))
     return out
-
-
-def _release(df: DataFrame) -> None:
-    """Let Spark delete the shuffle files of steps that are over."""
-    gc.collect()
-    df.sparkSession._jvm.System.gc()

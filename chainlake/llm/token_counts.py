@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainlake.llm.words import WordEncoder, gathered, whole_tokens
+from chainlake.llm.words import WordEncoder, gathered, sent_tokens
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 1024,
@@ -23,7 +23,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024,
     """
     import pyarrow as pa
 
-    table = docs.sparkSession.sparkContext.broadcast(whole_tokens(path))
+    table = sent_tokens(docs.sparkSession, path)
 
     def run(batches):
         coder = WordEncoder(path, table.value)

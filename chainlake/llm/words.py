@@ -14,6 +14,8 @@ import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+from pyspark import Broadcast
+from pyspark.sql import SparkSession
 
 CUT = re.compile(r" (?=\S)")
 # Letters below U+0250 are letters in every version of Unicode.
@@ -32,7 +34,7 @@ def byte_alphabet() -> dict[str, int]:
 def whole_tokens(path: str) -> dict[str, int]:
     """Vocabulary strings proven to encode, alone, as the one token they name.
 
-    Bounded by the vocabulary; run once per query before any text is read.
+    Bounded by the vocabulary; run once per query, before any text is read, by `sent_tokens`.
     """
     from tokenizers import Tokenizer
 
@@ -53,6 +55,21 @@ def whole_tokens(path: str) -> dict[str, int]:
     return {n: proven[n] for n, c in zip(names, codes) if c.ids == [proven[n]]}
 
 
+def sent_tokens(spark: SparkSession, path: str) -> Broadcast:
+    """`whole_tokens`, broadcast. A task finds them: what the library allocates, and keeps, stays out of the driver."""
+    import pyarrow as pa
+
+    def run(batches):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        for _ in batches:
+            found = whole_tokens(path)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.string()), pa.array(found.values(), pa.int64())], names=["text", "id"])
+
+    found = spark.range(0, 1, 1, 1).mapInArrow(run, "text string, id long").toArrow()
+    return spark.sparkContext.broadcast(dict(zip(*(c.to_pylist() for c in found.columns))))
+
+
 def merge_ranks(path: str) -> dict[bytes, int] | None:
     """Token bytes by rank, if the file's merges are proven to make its ids in order.
 

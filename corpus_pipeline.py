@@ -14,7 +14,7 @@ from chainlake.llm.packing import pack
 from chainlake.llm.queries import bpe_50k, known_words
 from chainlake.llm.secret_scan import redact, scan
 from chainlake.llm.simhash import one_of_each
-from chainlake.session import settle, tune
+from chainlake.session import release, settle, tune
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: secrets are replaced in the texts; n_chars follows. Every document stays."""
     tune(spark)
-    return redact(docs, settle(scan(docs, known_words())), length_col="n_chars")
+    found = settle(scan(docs, known_words()))
+    release(spark)
+    return redact(docs, found, length_col="n_chars")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

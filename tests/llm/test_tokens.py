@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 from chainlake.llm.packing import best_fit, pack
 from chainlake.llm.queries import bpe_50k
 from chainlake.llm.token_counts import count_tokens
-from chainlake.llm.words import WordEncoder, whole_tokens
+from chainlake.llm.words import WordEncoder, sent_tokens, whole_tokens
 
 
 @pytest.fixture(scope="module")
@@ -118,3 +118,13 @@ def test_only_remainders_are_dealt(spark):
     assert len(full) > 2000 and len({r.sequence_id for r in full}) == len(full)
     assert {r.sequence_id for r in full}.isdisjoint(r.sequence_id for r in rows if r.length < 128)
     assert len({r.sequence_id >> 40 for r in rows if r.length < 128}) >= 3
+
+
+def test_the_driver_never_loads_the_library(spark, proven, monkeypatch):
+    import tokenizers
+
+    docs = documents(spark, ["the house of 12 wolves", None, "x"])
+    monkeypatch.setattr(tokenizers, "Tokenizer", None)
+    assert sent_tokens(spark, bpe_50k()).value == proven
+    assert count_tokens(docs, bpe_50k()).count() == 3
+    assert pack(docs, bpe_50k()).count() == 3
