@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from chainlake import schemas
-from chainlake.session import settle
+from chainlake.session import discard, settle
 
 _LOCAL = (1 << 33) - 1  # low bits of monotonically_increasing_id: row within partition
+BLOCK_ROWS = 1_000_000  # rows of a block that one task sorts
 
 
 def add_rank(
@@ -19,14 +20,33 @@ def add_rank(
     order: list[Column],
     within: list[str] | None = None,
     name: str = "rank",
+    group_rows: int = 0,
 ) -> DataFrame:
     """1-based position in `order`, over the whole set or within groups.
 
-    The rows are range-partitioned on (group, order) and numbered locally; each
-    partition then needs only the size of those before it. A group of any size
-    spreads over many tasks. `order` has to end in a unique column.
+    Rows are spread over many tasks (`_spread_rank`), so a group may have any size. Where there are many groups,
+    `group_rows` lets those of at most that many rows meet whole in one shuffle, which moves and stores much less;
+    groups are counted first, and bigger ones are spread. `order` has to end in a unique column.
+    """
+    if not within or not group_rows:
+        return _spread_rank(df, order, list(within or []), name)
+    big = settle(df.groupBy(*within).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > group_rows).select(*within))
+    none_big = big.isEmpty()
+    placed = F.row_number().over(W.partitionBy(*within).orderBy(*order)).cast("bigint")
+    if none_big:
+        discard(big)
+        return df.withColumn(name, placed)
+    # Few by their size: all rows divided by `group_rows` at most.
+    same = reduce(lambda a, b: a & b, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in within])
+    part = lambda how: df.alias("l").join(F.broadcast(big).alias("r"), same, how)
+    return part("left_anti").withColumn(name, placed).unionByName(_spread_rank(part("left_semi"), order, within, name))
+
+
+def _spread_rank(df: DataFrame, order: list[Column], within: list[str], name: str) -> DataFrame:
+    """Position by sorted ranges: rows are range-partitioned on (group, order) and numbered locally.
+
+    Each partition then needs only the size of those before it, and a group its first position.
     """
-    within = list(within or [])
     sort = [*[F.col(c) for c in within], *order]
     placed = settle(
         df.repartitionByRange(*sort)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chainlake.operators import ranking
+from chainlake.operators import derive, ranking
 from chainlake.operators.latest import compact, latest_by, one_per_key, upsert
 from chainlake.plans import activity, graph
 from conftest import listed
@@ -182,6 +182,31 @@ def test_rank_of_nothing(spark):
     assert ranking.add_rank(empty, [F.col("v").asc()], ["g"]).count() == 0
 
 
+def test_small_groups_are_numbered_without_storing_their_rows(spark, monkeypatch):
+    rows = [(g, i * 7 % 11, i) for g, n in (("a", 4), ("b", 30), (None, 25), ("c", 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, v int, i int").repartition(5)
+    want = {(g, i): sum((v2, i2) <= (v, i) for g2, v2, i2 in rows if g2 == g) for g, v, i in rows}
+    stored, settle = [], ranking.settle
+    monkeypatch.setattr(ranking, "settle", lambda x: stored.append(x.select("*")) or settle(x))
+    order = [F.col("v").asc(), F.col("i").asc()]
+    for most in (1000, 20, 1):
+        got = ranking.add_rank(df, order, ["g"], "n", group_rows=most)
+        assert got.columns == ["g", "v", "i", "n"] and dict(got.dtypes)["n"] == "bigint"
+        assert {(r.g, r.i): r.n for r in got.collect()} == want
+        # Of whole rows, only those of groups beyond the bound are stored on the way.
+        kept = sum(x.count() for x in stored if "v" in x.columns)
+        assert kept == sum(n for n in (4, 30, 25, 1) if n > most)
+        stored.clear()
+
+
+def test_traces_of_blocks_are_numbered_in_one_shuffle(spark, monkeypatch):
+    stored, settle = [], ranking.settle
+    monkeypatch.setattr(ranking, "settle", lambda x: stored.append(x.columns) or settle(x))
+    traces = spark.createDataFrame([(1, 2, "b"), (1, 0, "a"), (2, 5, "c")], "block_number int, position int, trace_id string")
+    assert listed(derive.arrival_index(traces), "trace_id", "trace_index") == [("a", 0), ("b", 1), ("c", 0)]
+    assert all("position" not in columns for columns in stored)
+
+
 def test_top_row_per_key_is_cut_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     plan = one_per_key(df, ["k"], [F.col("v").desc()])._jdf.queryExecution().optimizedPlan().toString()
