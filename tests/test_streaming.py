@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo
 
 from chainlake.plans import entities
+from chainlake.registry import stream_q
 from chainlake.operators import derive, joins
 from chainlake.sources import payloads
 from chainlake.streaming import blocks as st
@@ -351,3 +352,56 @@ def test_numbers_of_a_key_share_the_calls_to_its_state(spark):
     gone = pairing.handleExpiredTimer(("1",), None, ExpiredTimerInfo(15))
     assert [tuple(r) for r in gone] == [("receipt", "19", "r19", False, False)]
     assert [r[:2] for r in state.rows] == [("block", "1x")]
+
+
+def test_the_state_only_grows_by_what_is_new(spark):
+    """Nothing that is held is written again when a block comes, and no record comes out twice for that."""
+    pairing = BlockPairing(T.StructType.fromDDL(PAIRS), "kind", "number", keep_ms=10)
+    state, written = Calls(), []
+    append, put = state.appendList, state.put
+    state.appendList = lambda rows: written.extend(rows) or append(rows)
+    state.put = lambda rows: written.extend(rows) or put(rows)
+    pairing.init(state)
+    batch = lambda rows, at: [tuple(r)[:3] for r in pairing.handleInputRows(
+        ("1",), iter([(*r, "1", None, at) for r in rows]), None)]
+    assert batch([("receipt", "11", "a"), ("receipt", "12", "b")], 1) == []
+    assert sorted(batch([("block", "11", "B")], 2)) == [("block", "11", "B"), ("receipt", "11", "a")]
+    assert batch([("receipt", "11", "c")], 3) == [("block", "11", "B"), ("receipt", "11", "c")]
+    assert batch([("receipt", "12", "d")], 4) == []
+    assert sorted(batch([("block", "12", "C")], 5)) == [("block", "12", "C"), ("receipt", "12", "b"), ("receipt", "12", "d")]
+    assert [r[2] for r in written] == ["a", "b", "B", "d", "C"]
+    assert list(pairing.handleExpiredTimer(("1",), None, ExpiredTimerInfo(11))) == [] and state.rows == []
+
+
+def test_payloads_of_a_batch_are_read_once_for_all_kinds(spark, tmp_path, monkeypatch):
+    block = {"number": "0x1", "hash": "0xb", "timestamp": "0x5", "transactions": [{"hash": "0xt", "blockNumber": "0x1"}]}
+    log = {"logIndex": "0x0", "transactionHash": "0xt", "blockNumber": "0x1", "address": "0xT", "data": "0x", "topics": []}
+    receipt = {"transactionHash": "0xt", "blockNumber": "0x1", "logs": [log]}
+    call = {"action": {"from": "0xa", "to": "0xb"}, "blockNumber": 1, "traceAddress": [], "transactionHash": "0xt", "type": "call"}
+    docs = {"block": {"result": block}, "receipt": {"result": receipt}, "trace": {"result": [call]}}
+    rows = [(kind, "0x1", json.dumps(doc), True, True) for kind, doc in docs.items()]
+    plans, sink = {}, st.batch_sink
+    monkeypatch.setattr("chainlake.streaming.entities.batch_sink", lambda path: lambda df, at: (
+        plans.update({os.path.basename(path): df._jdf.queryExecution().optimizedPlan().toString()}), sink(path)(df, at)))
+    calls = spark.createDataFrame([], "address string, symbol string, name string, decimals string, total_supply string, block_number int")
+    batch = spark.createDataFrame(rows, PAIRS + ", paired boolean, new boolean")
+    entity_sink(str(tmp_path), ["block", "transaction", "log", "token_transfer", "trace", "contract", "token"], calls)(batch, 0)
+    assert [len(listed(read_stored(spark, str(tmp_path), k), "item_id")) for k in ("block", "transaction", "log", "trace")] == [1] * 4
+    # Logs, traces and the heads of blocks come out of held tables.
+    read = {name: plan[:plan.index("InMemoryRelation")].count("from_json") for name, plan in plans.items() if name in ("log", "trace")}
+    assert read == {"log": 0, "trace": 0}
+
+
+def test_late_files_are_as_many_as_asked_for(spark, monkeypatch):
+    class Given:
+        pass
+
+    t = Given()
+    t.spark = spark
+    df = spark.range(0, 1000, 1, 9).selectExpr("id", "timestamp_seconds(id * 3600) as ts")
+    files = lambda path: sorted((r.low, r.high) for r in spark.read.parquet(path).groupBy(
+        F.input_file_name()).agg(F.min("id").alias("low"), F.max("id").alias("high")).collect())
+    assert files(stream_q.late_first(t, df, "ts")) == [(0, 249), (250, 499), (500, 749), (750, 999)]
+    monkeypatch.setattr(stream_q, "FILE_ROWS", 100)
+    path = stream_q.late_first(t, df, "ts")
+    assert 8 <= len(files(path)) <= 12 and spark.read.parquet(path).distinct().count() == 1000
