@@ -290,3 +290,15 @@ def test_receipts_are_made_behind_the_join_of_lines(spark, tmp_path):
     amounts = [F.col(c).cast("long") for c in ("cumulative_gas_used", "gas_used", "effective_gas_price")]
     assert listed(payloads.parse_receipts(docs), "transaction_hash", *cols, *amounts) == listed(
         met, "transaction_hash", *[f"r.{c}" for c in cols], *amounts)
+
+
+def test_content_ids_of_listings_are_computed_once(spark):
+    from chainlake.functions import hexes
+
+    sides = spark.createDataFrame([("0x" + f"{n:064x}", n) for n in (5, 6, 6)] + [("0xz", 7), (None, 8)], "data string, n int")
+    events = sides.select(F.col("n").alias("block_number"), F.lit(0).alias("log_index"), F.lit("1").alias("listing_id"),
+                          hexes.base58("data").alias("ipfs_hash"))
+    docs = sides.where("n <> 5").distinct().select(hexes.base58("data").alias("path"), F.lit('{"title": "a"}').alias("body"))
+    found = derive.listings(events, docs)
+    assert listed(found, "block_number", "title") == [(6, "a"), (6, "a")]
+    assert "aggregate(" not in found._jdf.queryExecution().optimizedPlan().toString()
